@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -56,9 +57,10 @@ _RECORD_COLUMNS = (
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(path, file_name) of the uploads; the files are not opened."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return found.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"))
+    """(path, file_name) of the uploads, empty files included; no file is opened."""
+    paths = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).inputFiles()
+    names = [(p, unquote(p.rsplit("/", 1)[-1])) for p in paths]
+    return spark.createDataFrame(names, "path string, file_name string")
 
 
 def file_layouts(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[tuple[list[str], list[str]]]:
@@ -79,15 +81,16 @@ def file_layouts(spark: SparkSession, folder: str, pattern: str = "*.csv") -> li
     )
     layouts = []
     for row in first.collect():
+        paths = [unquote(p) for p in row.paths]  # metadata paths are URI-encoded
         header = row.header.lstrip("\ufeff")
         names = next(csv.reader([header]), [])
         if header.count('"') % 2:
             # A quoted name runs over several lines: let the CSV reader find its end.
-            for path in row.paths:
+            for path in paths:
                 cells = spark.read.options(**{**CSV_OPTIONS, "header": False}).csv(path).first()
                 layouts.append(([str(c or "").lstrip("\ufeff") for c in cells], [path]))
         elif names:
-            layouts.append((names, row.paths))
+            layouts.append((names, paths))
     return layouts
 
 
@@ -103,6 +106,11 @@ def read_records(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Da
     return records
 
 
+def _decoded(column: str) -> Column:
+    """A metadata path part as text: it is URI-encoded, where a plus is only a plus."""
+    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
+
+
 def _read_layout(spark: SparkSession, names: Sequence[str], paths: Sequence[str]) -> DataFrame:
     # Columns are read by position; of a repeated name the last one counts.
     positions = [f"c{i}" for i in range(len(names))]
@@ -112,7 +120,7 @@ def _read_layout(spark: SparkSession, names: Sequence[str], paths: Sequence[str]
         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .schema(schema)
         .csv(list(paths))
-        .select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("file_name"))
+        .select("*", F.col("_metadata.file_path").alias("_path"), _decoded("_metadata.file_name").alias("file_name"))
         .withColumn("_at", F.monotonically_increasing_id())
     )
     by_name = dict(zip(names, positions))
