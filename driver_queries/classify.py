@@ -33,10 +33,14 @@ def routed(spark, sf, prefilter_only=False):
     return route_rows(rows, TermMatcher.build(LEXICON_A, LEXICON_B), prefilter_only)
 
 
-def candidates(spark, sf):
-    batch = routed(spark, sf).filter("route = 'batch'").withColumn("row_id", F.col("record_key"))
-    # Numbered twice over (counts, then ranks), so the routed rows are written out first.
-    return settle(assign_batches(settle(batch), "record_key", BATCH))
+def candidates(rows):
+    """Rows of the batch route in their batches; ``rows`` are routed and written out."""
+    batch = rows.filter("route = 'batch'").withColumn("row_id", F.col("record_key"))
+    return settle(assign_batches(batch, "record_key", BATCH))
+
+
+def batch_candidates(spark, sf):
+    return candidates(settle(routed(spark, sf).filter("route = 'batch'")))
 
 
 def synthetic_responses(rows):
@@ -88,9 +92,10 @@ FULL = (FLAGGED, ROUTED, CANDIDATES, OUTPUT)
 
 
 def full_output(spark, sf):
-    waiting = candidates(spark, sf)
+    rows = settle(routed(spark, sf))  # one scan for terms serves both branches
+    waiting = candidates(rows)
     answered = label_candidates(waiting, synthetic_responses(waiting), MODEL, RUN_TS)
-    decided = decided_rows(routed(spark, sf), RUN_TS)
+    decided = decided_rows(rows, RUN_TS)
     return decided.select(*CLASSIFICATION_COLUMNS).unionByName(answered.select(*CLASSIFICATION_COLUMNS)), waiting
 
 
@@ -202,7 +207,7 @@ PROMPTS = f"""prompts AS (SELECT lpad(CAST(batch_no AS VARCHAR), 12, '0') AS bat
     ),
 )
 def batches(spark, sf):
-    rows = candidates(spark, sf)
+    rows = batch_candidates(spark, sf)
     firsts = rows.groupBy("batch_id").agg(F.min("record_key").alias("first_key"))
     return build_requests(rows).join(firsts, "batch_id").select("batch_id", "n_rows", "first_key", F.md5("prompt").alias("prompt_md5"))
 
@@ -218,7 +223,7 @@ def batches(spark, sf):
     ),
 )
 def forecast(spark, sf):
-    return forecast_usage(build_requests(candidates(spark, sf)), MODEL).select("batch_id", "input_tokens", "output_tokens")
+    return forecast_usage(build_requests(batch_candidates(spark, sf)), MODEL).select("batch_id", "input_tokens", "output_tokens")
 
 
 @query(
@@ -232,7 +237,7 @@ def forecast(spark, sf):
     ),
 )
 def errors(spark, sf):
-    rows = candidates(spark, sf)
+    rows = batch_candidates(spark, sf)
     return failed_rows(join_responses(rows, synthetic_responses(rows)), "classification", RUN_TS)
 
 
@@ -248,7 +253,7 @@ def errors(spark, sf):
     ),
 )
 def batch_costs(spark, sf):
-    usage = response_usage(synthetic_responses(candidates(spark, sf)), MODEL)
+    usage = response_usage(synthetic_responses(batch_candidates(spark, sf)), MODEL)
     prices = spark.createDataFrame([(MODEL, 0.75, 0.075, 4.5)], "model string, input double, cached double, output double")
     return price_usage(sum_usage(usage), prices).select(
         "model_used", "input_tokens", "cached_input_tokens", "output_tokens", "input_cost_usd", "usage_source"

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from talkloom import prepare_session
 from talkloom.functions.text import clean_text
+from talkloom.session import spread
 
 RUN_TS = "2026-01-02T03:04:05Z"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The columns of a table whose rows are about to be worked on one by one."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder for tables a query writes: in the cluster's shared folder, if it names one."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -48,7 +54,7 @@ def scratch(spark: SparkSession) -> str:
 
 
 def std(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    documents = texts(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars")
     labels = table(spark, sf_dir, "labels")
     lang = F.col("lang")
     platform = (

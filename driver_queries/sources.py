@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.registry import RUN_TS, query, scratch, std, table, with_std
+from driver_queries.registry import RUN_TS, query, scratch, table, texts
 from talkloom.functions.jsontext import json_string
 from talkloom.functions.hashing import short_hash
-from talkloom.functions.text import clean_text, null_if_blank
+from talkloom.functions.text import clean_text
+from talkloom.session import settle
 from talkloom.sources.jobs import build_jobs
 from talkloom.sources.payloads import (
     REDDIT_COMMENTS,
@@ -61,12 +62,12 @@ def jobs(spark, sf):
     "q_dup_ids",
     r"""WITH i AS (SELECT doc_id, source || '.csv' AS file_name, source AS stem, doc_id + 2 AS record_no, lang AS platform,
         split_part(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ', 1) AS source_id, substr(sha1(text), 1, 12) AS h FROM documents),
-    c AS (SELECT *, CASE WHEN source_id <> '' THEN source_id ELSE stem || '_' || lpad(CAST(record_no AS VARCHAR), greatest(5, length(CAST(record_no AS VARCHAR))), '0') || '_' || h END AS cand FROM i)
+    c AS (SELECT *, CASE WHEN source_id <> '' THEN source_id ELSE stem || '_' || lpad(CAST(record_no AS VARCHAR), CAST(greatest(5, length(CAST(record_no AS VARCHAR))) AS INTEGER), '0') || '_' || h END AS cand FROM i)
     SELECT doc_id, CASE WHEN row_number() OVER (PARTITION BY platform, cand ORDER BY file_name, record_no) = 1 THEN cand
-      ELSE cand || '__manual_' || lpad(CAST(record_no AS VARCHAR), greatest(5, length(CAST(record_no AS VARCHAR))), '0') || '_' || h END AS id FROM c""",
+      ELSE cand || '__manual_' || lpad(CAST(record_no AS VARCHAR), CAST(greatest(5, length(CAST(record_no AS VARCHAR))) AS INTEGER), '0') || '_' || h END AS id FROM c""",
 )
 def duplicate_ids(spark, sf):
-    items = table(spark, sf, "documents").select(
+    items = texts(spark, sf, "documents", "doc_id", "text", "lang", "source").select(
         "doc_id",
         F.concat("source", F.lit(".csv")).alias("file_name"),
         (F.col("doc_id") + 2).alias("record_no"),
@@ -81,7 +82,7 @@ def duplicate_ids(spark, sf):
 
 def write_uploads(spark, sf, folder):
     """Documents in three CSV layouts, by language; German texts are blanked."""
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    docs = texts(spark, sf, "documents", "doc_id", "text", "lang", "n_chars")
     id_ = F.col("doc_id").cast("string")
     options = {
         "header": True,
@@ -130,7 +131,7 @@ ok AS (SELECT * FROM u WHERE lang <> 'de' AND cut <> '')"""
 def manual_flat(spark, sf):
     folder = scratch(spark)
     write_uploads(spark, sf, folder)
-    rows = upload_rows(upload_items(read_records(spark, folder)), RUN_TS)
+    rows = upload_rows(settle(upload_items(read_records(spark, folder))), RUN_TS)
     # Generated ids end in the content hash; what precedes it names the written file.
     own = F.when(F.col("platform") == "insta", F.regexp_extract("id", "_([0-9a-f]{12})$", 1)).otherwise(F.col("id"))
     return rows.select(
@@ -175,13 +176,13 @@ def manual_json(spark, sf):
     """Events as payload cells: one row per user and stretch of event ids, so that no cell
     grows with a user's history."""
     folder = scratch(spark)
-    events = table(spark, sf, "events")
+    events = texts(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "props")
     k = F.get_json_object("props", "$.k")
     message = F.when(F.col("event_type") == "error", " ").otherwise(F.concat_ws(" ", "event_type", F.lit("by"), "user_id"))
     item = F.concat(
         F.lit('{"post_id": '), F.col("event_id").cast("string"),
         F.lit(', "message": '), json_string(message),
-        F.lit(', "timestamp": '), F.unix_seconds("ts").cast("string"),
+        F.lit(', "timestamp": '), F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"),
         F.lit(', "author": {"name": '), json_string(F.concat(F.lit("user "), "user_id")),
         F.lit('}, "reactions": {"list":[1,"a,b"],"k":'), k, F.lit("}}"),
     )
@@ -196,7 +197,7 @@ def manual_json(spark, sf):
         )
     )
     cells.write.options(header=True, escape='"').csv(folder)
-    rows = upload_rows(upload_items(read_records(spark, folder)), RUN_TS)
+    rows = upload_rows(settle(upload_items(read_records(spark, folder))), RUN_TS)
     reactions = F.regexp_extract("metadata_json", r'"reactions": (\{.*?\}), "result_index"', 1)
     return rows.select(
         "id",
@@ -239,7 +240,7 @@ def first_words(n):
     FROM w""",
 )
 def payload_reddit(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "text", "lang", "source", "n_chars")
     id_ = F.col("doc_id").cast("string")
     posts = docs.select(
         id_.alias("id"),
@@ -276,12 +277,12 @@ def payload_reddit(spark, sf):
       '2026-01-01T00:00:00Z' AS created_at_utc, 'https://www.youtube.com/watch?v=' || doc_id AS url,
       '{{"channel_id": "ch", "view_count": "' || n_chars || '", "like_count": "", "query": "q-' || lang || '"}}' AS metadata_json,
       '[' || array_to_string(list_transform(words[1:3], lambda x: '{{"id": "t", "text": ' || CAST(to_json(x) AS VARCHAR)
-        || ', "author": "a", "created_at_utc": "p", "url": "", "replies": [{{"id": "r", "text": ' || CAST(to_json(upper(x)) AS VARCHAR)
+        || ', "author": "a", "created_at_utc": "p", "url": "", "replies": [{{"id": "r", "text": ' || CAST(to_json(x || '!') AS VARCHAR)
         || ', "author": "a", "created_at_utc": "p", "url": ""}}]}}'), ', ') || ']' AS comments_json
     FROM w""",
 )
 def payload_youtube(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "text", "lang", "source", "n_chars")
     id_ = F.col("doc_id").cast("string")
     videos = docs.select(
         id_.alias("id"),
@@ -304,7 +305,7 @@ def payload_youtube(spark, sf):
             first_words(3),
             lambda w: F.struct(
                 F.struct(F.struct(F.lit("t").alias("id"), snippet(w).alias("snippet")).alias("topLevelComment")).alias("snippet"),
-                F.struct(F.array(F.struct(F.lit("r").alias("id"), snippet(F.upper(w)).alias("snippet"))).alias("comments")).alias("replies"),
+                F.struct(F.array(F.struct(F.lit("r").alias("id"), snippet(F.concat(w, F.lit("!"))).alias("snippet"))).alias("comments")).alias("replies"),
             ),
         ).alias("items"),
     )
@@ -327,7 +328,7 @@ def payload_youtube(spark, sf):
     FROM w""",
 )
 def payload_twitter(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "text", "lang", "source", "n_chars")
     id_ = F.col("doc_id").cast("string")
     items = docs.select(
         id_.alias("id"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.registry import long_sql, query, std, table, with_std
+from driver_queries.registry import long_sql, query, std, texts, with_std
 from talkloom.functions.keys import extraction_key, row_key
 from talkloom.operators.dedup import first_rows, first_wins, skip_seen
 from talkloom.operators.standardize import standardize, standardize_counts
@@ -23,7 +23,7 @@ def raw(spark, sf, damaged=False):
     A conversation of more than ``TURNS_PER_ROW`` turns lands as several rows of the same
     post, each with the next stretch of comments, so no row grows with its length.
     """
-    turns = table(spark, sf, "conversations")
+    turns = texts(spark, sf, "conversations", "conv_id", "turn", "role", "text")
     part = F.floor(F.greatest(F.col("turn") - 1, F.lit(0)) / TURNS_PER_ROW).cast("bigint")
     shape = turns.select("conv_id", part.alias("part"), "turn", "role", "text")
     packed = shape.filter("turn > 0").groupBy("conv_id", "part").agg(
@@ -202,7 +202,7 @@ def wins(spark, sf):
 )
 def hot(spark, sf):
     """One key holds most rows: the group limit below the exchange keeps it flat."""
-    rows = table(spark, sf, "documents").select(
+    rows = texts(spark, sf, "documents", "doc_id", "lang", "text").select(
         "doc_id", F.when(F.col("lang") == "en", "one hot key").otherwise(F.col("text")).alias("text")
     )
     return first_wins(rows, "text", ["doc_id"]).select("text", "doc_id")

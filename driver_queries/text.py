@@ -16,6 +16,7 @@ from driver_queries.registry import (
     query,
     std,
     table,
+    texts,
     with_std,
 )
 from talkloom.functions.clock import epoch_to_iso
@@ -29,7 +30,7 @@ CLEAN = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
 
 @query("q_clean_text", f"SELECT doc_id, {CLEAN} AS text FROM documents")
 def clean(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", clean_text("text").alias("text"))
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", clean_text("text").alias("text"))
 
 
 @query(
@@ -41,14 +42,14 @@ def clean(spark, sf):
 )
 def urls(spark, sf):
     sentence = F.concat(F.lit("see "), F.col("url"), F.lit(" now"))
-    return table(spark, sf, "pages").select(
+    return texts(spark, sf, "pages", "page_id", "url", "html").select(
         "page_id", clean_text("html", remove_urls=True).alias("html"), clean_text(sentence, remove_urls=True).alias("sentence")
     )
 
 
 @query("q_match_normalize", f"SELECT doc_id, {fold_sql(CLEAN)} AS folded FROM documents")
 def normalize(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", match_form("text").alias("folded"))
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", match_form("text").alias("folded"))
 
 
 @query("q_row_keys", with_std("SELECT doc_id, record_key, platform || '|' || id AS item_key FROM keyed"))
@@ -60,15 +61,15 @@ def keys(spark, sf):
 @query(
     "q_title_combine",
     f"""WITH t AS (SELECT doc_id, {CLEAN} AS body FROM documents),
-    w AS (SELECT doc_id, body, CASE WHEN length(body) > 2000 THEN upper(split_part(body, ' ', 1))
+    w AS (SELECT doc_id, body, CASE WHEN length(body) > 2000 THEN split_part(body, ' ', 1) || '#'
       ELSE split_part(body, ' ', 1) END AS title FROM t)
     SELECT doc_id, CASE WHEN title <> '' AND body <> '' AND NOT contains(body, title) THEN title || ' ' || body
       WHEN body <> '' THEN body ELSE title END AS text FROM w""",
 )
 def titles(spark, sf):
-    body = table(spark, sf, "documents").select("doc_id", clean_text("text").alias("body"))
+    body = texts(spark, sf, "documents", "doc_id", "text").select("doc_id", clean_text("text").alias("body"))
     word = F.substring_index("body", " ", 1)
-    titled = body.withColumn("title", F.when(F.char_length("body") > 2000, F.upper(word)).otherwise(word))
+    titled = body.withColumn("title", F.when(F.char_length("body") > 2000, F.concat(word, F.lit("#"))).otherwise(word))
     return titled.select("doc_id", combine_title("title", "body").alias("text"))
 
 
@@ -78,8 +79,8 @@ def titles(spark, sf):
 )
 def epochs(spark, sf):
     # Fractional seconds as text, the way a payload carries them.
-    seconds = (F.unix_micros("ts").cast("decimal(20,0)") / F.lit(1000000).cast("decimal(20,0)")).cast("string")
-    return table(spark, sf, "events").select(
+    seconds = (F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(20,0)") / F.lit(1000000).cast("decimal(20,0)")).cast("string")
+    return texts(spark, sf, "events", "event_id", "event_type", "ts").select(
         "event_id", epoch_to_iso(seconds).alias("created_at_utc"), epoch_to_iso(F.concat("event_type", seconds)).alias("broken")
     )
 
@@ -150,19 +151,16 @@ def flat(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-_LEXICON_VALUES = ", ".join(
-    f"('{g}', '{t}', '{lexicon_sql([t])}')" for g, ts in (("a", LEXICON_A), ("b", LEXICON_B)) for t in (*ts, "the er")
+# One constant pattern per term: a pattern that varies per row is compiled per row.
+_LEXICON_HITS = " UNION ALL ".join(
+    f"""SELECT '{g}' AS "group", '{t}' AS term, count(*) AS n_rows, min(doc_id) AS first_doc FROM folded
+    WHERE regexp_matches(f, '{lexicon_sql([t])}') HAVING count(*) > 0"""
+    for g, ts in (("a", LEXICON_A), ("b", LEXICON_B))
+    for t in (*ts, "the er")
 )
 
 
-@query(
-    "q_term_hits",
-    with_std(
-        f"""SELECT v.grp AS "group", v.term, count(*) AS n_rows, min(doc_id) AS first_doc FROM std,
-        (VALUES {_LEXICON_VALUES}) v(grp, term, pattern)
-        WHERE regexp_matches({fold_sql('text')}, v.pattern) GROUP BY ALL"""
-    ),
-)
+@query("q_term_hits", with_std(_LEXICON_HITS, f"folded AS (SELECT doc_id, {fold_sql('text')} AS f FROM std)"))
 def hits(spark, sf):
     terms = terms_table(spark, {"a": [*LEXICON_A, "the er"], "b": [*LEXICON_B, "the er"]})
     found = term_hits(std(spark, sf), "doc_id", terms)
@@ -172,9 +170,9 @@ def hits(spark, sf):
 @query(
     "q_dictionary_hits",
     with_std(
-        f"""SELECT grp AS "group", term, count(*) AS n_rows FROM std, terms
-        WHERE regexp_matches({fold_sql('text')}, '(^|{NOT_WORD})' || stem ||
-          CASE WHEN grp = 'ai_terms' THEN '{WORD[:-1]}-]*' ELSE '' END || '($|{NOT_WORD})') GROUP BY ALL""",
+        f"""SELECT grp AS "group", term, count(DISTINCT doc_id) AS n_rows FROM
+        (SELECT DISTINCT doc_id, unnest(regexp_extract_all({fold_sql('text')}, '{WORD}+')) AS word FROM std)
+        JOIN terms ON CASE WHEN grp = 'ai_terms' THEN starts_with(word, stem) ELSE word = stem END GROUP BY ALL""",
         DICTIONARY,
     ),
 )

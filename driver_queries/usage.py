@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.registry import query, table
+from driver_queries.registry import query, texts
 from talkloom.functions.cost import usage_fields
 from talkloom.operators.summaries import price_usage, sum_usage
 
@@ -46,7 +46,7 @@ def costs(spark, sf):
             )
         )
     )
-    calls = table(spark, sf, "events").select(F.col("event_type").alias("model"), payload.alias("payload"))
+    calls = texts(spark, sf, "events", "event_type", "props").select(F.col("event_type").alias("model"), payload.alias("payload"))
     source = F.when((F.col("model") == "error"), "estimated_tokenizer").otherwise("openai_api_usage")
     usage = calls.select("model", *[c.alias(n) for n, c in usage_fields("payload").items()], source.alias("usage_source"))
     prices = spark.createDataFrame(list(_PRICES), "model string, input double, cached double, output double")

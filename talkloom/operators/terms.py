@@ -238,13 +238,18 @@ def _phrase_hits(spark: SparkSession, matched: DataFrame, lookup: list[tuple]) -
             open_lengths.setdefault(len(words[stem]), set()).add(len(words[stem][-1]))
     closed_lengths = sorted({len(words[s]) for _, _, s, o in lookup if not o})
 
-    # Words and the separators between them, alternating; p walks over the words.
-    pieces = matched.select(
-        "_key", F.regexp_extract_all("_match", F.lit(f"[{WORD}]+|[^{WORD}]+"), F.lit(0)).alias("w")
-    )
-    at = pieces.select("_key", "w", F.posexplode("w").alias("p", "word")).filter(
-        F.col("word").rlike(f"^[{WORD}]")
-    )
+    if max(len(w) for w in words.values()) == 1:
+        # Where no term has a second word, a text is its set of words.
+        listed = F.array_distinct(F.regexp_extract_all("_match", F.lit(f"[{WORD}]+"), F.lit(0)))
+        at = matched.select("_key", F.explode(listed).alias("word")).withColumns(
+            {"w": F.array("word"), "p": F.lit(0)}
+        )
+    else:
+        # Words and the separators between them alternate; p walks over the words.
+        pieces = matched.select(
+            "_key", F.regexp_extract_all("_match", F.lit(f"[{WORD}]+|[^{WORD}]+"), F.lit(0)).alias("w")
+        ).withColumn("_first", F.when(F.get("w", F.lit(0)).rlike(f"^[{WORD}]"), 0).otherwise(1))
+        at = pieces.select("_key", "w", "_first", F.posexplode("w").alias("p", "word")).filter("p % 2 = _first")
     exact_head = F.col("word").isin(exact)
     open_head = F.lit(False)
     for length in sorted(open_lengths.get(1, ())):

@@ -10,7 +10,7 @@ from talkloom.operators.dedup import first_wins, skip_seen
 from talkloom.operators.summaries import counts, difference, distributions, platform_count, union_metrics
 from talkloom.plans.store import Store, commit_stage, quarantine, read_master, read_state, write_summary
 from talkloom.schemas import EXTRACTION, EXTRACTION_COLUMNS, QUARANTINE_COLUMNS, ROW_ORD
-from talkloom.session import prepare_session
+from talkloom.session import prepare_session, settle
 from talkloom.sources.tables import conform, extraction_seen
 from talkloom.sources.uploads import list_files, read_records, upload_counts, upload_items, upload_rows, with_upload_order
 
@@ -142,7 +142,7 @@ def run_upload(
 ) -> DataFrame:
     """Normalize a folder of uploads: chosen output, run copy and both summaries."""
     prepare_session(spark)
-    items = upload_items(read_records(spark, folder))
+    items = settle(upload_items(read_records(spark, folder)))  # rows and counters read it
     files = list_files(spark, folder)
     rows = with_upload_order(upload_rows(items, run_ts), files).select(*EXTRACTION_COLUMNS, ROW_ORD)
     copy = store.snapshot("manual", run_id, "manual_extraction_raw")

@@ -31,3 +31,14 @@ def settle(df: DataFrame) -> DataFrame:
         shared = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="talkloom-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few files the parallelism of the session.
+
+    A file of one row group is read by one task, and so is all text work above it. A
+    table of many files already has its tasks and is left alone, so nothing large is
+    ever shuffled here. Select the needed columns first.
+    """
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= tasks else df.repartition(tasks)

@@ -168,52 +168,67 @@ def upload_items(records: DataFrame) -> DataFrame:
     """Every record's items with an ``outcome``: row, blank_text, invalid_json or nothing.
 
     A record without items still gives one line (``place`` 0), which is what counters
-    are taken from.
+    are taken from. Records with a payload take a branch of their own: files without a
+    ``json`` column are folded out of it before it runs.
     """
-    is_json = F.col("json") != ""
-    payload = records.withColumn("_doc", F.when(is_json, parse_json("json")))
+    return _flat_items(records.filter("json = ''")).unionByName(_payload_items(records.filter("json <> ''")))
+
+
+def _flat_items(records: DataFrame) -> DataFrame:
+    return records.select(
+        "file_name",
+        "record_no",
+        F.lit(0).alias("place"),
+        F.lit(0).cast("bigint").alias("result_index"),
+        F.lit(False).alias("from_json"),
+        "platform",
+        F.coalesce(null_if_blank("collection_method"), F.lit(DEFAULT_METHOD)).alias("collection_method"),
+        "text",
+        "source_id",
+        "url",
+        F.lit("").alias("author"),
+        F.lit("").alias("created_at_utc"),
+        F.col("language").alias("provided_language_label"),
+        F.col("label").alias("provided_classification_label"),
+        short_hash(F.col("row_json")).alias("content_hash"),
+        _flat_metadata().alias("metadata_json"),
+        F.when(F.col("text") == "", F.lit("blank_text")).otherwise(F.lit("row")).alias("outcome"),
+    )
+
+
+def _payload_items(records: DataFrame) -> DataFrame:
+    payload = records.withColumns({"_doc": parse_json("json"), "_hashes": item_hashes(F.col("json"))})
     results = F.try_variant_get("_doc", "$.results", "variant")
     listed = json_list(F.col("_doc"), "$.results")
     indexed = F.filter(
         F.transform(listed, lambda item, i: F.struct((i + 1).alias("result_index"), item.alias("item"))),
         lambda e: is_object(e["item"]),
     )
-    invalid = is_json & (F.col("_doc").isNull() | (results.isNotNull() & listed.isNull()))
-    hashes = item_hashes(F.when(is_json, F.col("json")))
-    opened = payload.withColumn("_hashes", hashes).select(
-        "*", is_json.alias("_is_json"), invalid.alias("_invalid"), indexed.alias("_items")
-    )
-    exploded = opened.select("*", F.posexplode_outer("_items").alias("_p", "_e"))
+    invalid = F.col("_doc").isNull() | (results.isNotNull() & listed.isNull())
+    exploded = payload.select("*", invalid.alias("_invalid"), F.posexplode_outer(indexed).alias("_p", "_e"))
     item = F.col("_e.item")
-    item_text = strip(F.coalesce(null_if_blank(json_field_or_blank(item, "$.message")), json_field_or_blank(item, "$.message_rich")))
-    item_id = strip(
-        F.coalesce(null_if_blank(json_field_or_blank(item, "$.post_id")), json_field_or_blank(item, "$.id"))
-    )
-    from_json = F.col("_is_json")
-    raw_time = F.try_variant_get(item, "$.timestamp", "string")
+
+    def either(first: str, second: str) -> Column:
+        return strip(F.coalesce(null_if_blank(json_field_or_blank(item, first)), json_field_or_blank(item, second)))
+
     merged = exploded.select(
         "file_name",
         "record_no",
         F.coalesce(F.col("_p"), F.lit(0)).alias("place"),
         F.coalesce(F.col("_e.result_index"), F.lit(0)).cast("bigint").alias("result_index"),
-        from_json.alias("from_json"),
+        F.lit(True).alias("from_json"),
         "platform",
-        F.coalesce(
-            null_if_blank("collection_method"),
-            F.when(from_json, F.lit(DEFAULT_JSON_METHOD)).otherwise(F.lit(DEFAULT_METHOD)),
-        ).alias("collection_method"),
-        F.when(from_json, item_text).otherwise(F.col("text")).alias("text"),
-        F.when(from_json, item_id).otherwise(F.col("source_id")).alias("source_id"),
-        F.when(from_json, strip(json_field_or_blank(item, "$.url"))).otherwise(F.col("url")).alias("url"),
-        F.when(from_json, json_field_or_blank(item, "$.author.name")).otherwise(F.lit("")).alias("author"),
-        F.when(from_json, epoch_to_iso(raw_time)).otherwise(F.lit("")).alias("created_at_utc"),
+        F.coalesce(null_if_blank("collection_method"), F.lit(DEFAULT_JSON_METHOD)).alias("collection_method"),
+        either("$.message", "$.message_rich").alias("text"),
+        either("$.post_id", "$.id").alias("source_id"),
+        strip(json_field_or_blank(item, "$.url")).alias("url"),
+        json_field_or_blank(item, "$.author.name").alias("author"),
+        epoch_to_iso(F.try_variant_get(item, "$.timestamp", "string")).alias("created_at_utc"),
         F.col("language").alias("provided_language_label"),
         F.col("label").alias("provided_classification_label"),
-        F.when(
-            from_json, F.try_element_at(F.col("_hashes"), F.col("_e.result_index").cast("int"))
-        ).otherwise(short_hash(F.col("row_json"))).alias("content_hash"),
-        F.when(from_json, _json_metadata(item)).otherwise(_flat_metadata()).alias("metadata_json"),
-        (from_json & F.col("_e").isNull()).alias("_no_item"),
+        F.try_element_at(F.col("_hashes"), F.col("_e.result_index").cast("int")).alias("content_hash"),
+        _json_metadata(item).alias("metadata_json"),
+        F.col("_e").isNull().alias("_no_item"),
         "_invalid",
     )
     outcome = (
