@@ -29,7 +29,7 @@ _ALL = ", ".join(CLASSIFICATION_COLUMNS)
 
 
 def routed(spark, sf, prefilter_only=False):
-    rows = select_new(std(spark, sf), None, None)
+    rows = select_new(std(spark, sf), None)
     return route_rows(rows, TermMatcher.build(LEXICON_A, LEXICON_B), prefilter_only)
 
 

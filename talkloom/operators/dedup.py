@@ -30,6 +30,25 @@ def skip_seen(df: DataFrame, seen: DataFrame | None, key: str = "record_key") ->
     return df.join(known, F.col(key) == F.col("_known"), "left_anti")
 
 
+# Keys of a batch up to this many bytes are broadcast; the figure is measured first.
+MAX_BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+
+
+def relevant_history(seen: DataFrame, batch_keys: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """The part of the history a batch can meet.
+
+    An increment is small next to everything seen before. Where the measured size of its
+    keys allows, they are broadcast and the history is filtered as it is scanned, so the
+    history is not shuffled at all; a larger batch meets the whole history in the
+    shuffled anti-join.
+    """
+    limit = MAX_BROADCAST_KEY_BYTES if max_bytes is None else max_bytes
+    size = batch_keys.agg(F.sum(F.octet_length("record_key") + 32)).first()[0] or 0
+    if size > limit:
+        return seen
+    return seen.join(F.broadcast(batch_keys.select("record_key")), "record_key", "left_semi")
+
+
 def first_rows(df: DataFrame, limit: int | None, order_by: Sequence[Column | str]) -> DataFrame:
     """The first ``limit`` input rows, before anything is skipped."""
     if limit is None:

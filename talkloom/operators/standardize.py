@@ -146,11 +146,12 @@ def standardize(raw: DataFrame) -> DataFrame:
     return first_wins(rows, "record_key", [ROW_ORD]).select(*STANDARDIZED_COLUMNS, ROW_ORD, "record_key")
 
 
-def standardize_counts(raw: DataFrame) -> DataFrame:
+def standardize_counts(raw: DataFrame, kept: DataFrame | None = None) -> DataFrame:
     """Counters of ``standardize`` as (metric, key, value) rows.
 
     Comment and reply counters count rows that were kept; ``dropped_empty_text_rows``
-    also counts rows without an id.
+    also counts rows without an id. ``kept`` is the result of ``standardize`` where the
+    caller has it written out already.
     """
     flat = flatten_posts(raw)
     before = flat.agg(
@@ -159,11 +160,15 @@ def standardize_counts(raw: DataFrame) -> DataFrame:
         F.count_if(is_valid()).alias("_valid"),
         F.count_if("_invalid").alias("invalid_comments_json_rows"),
     )
-    narrow = flat.filter(is_valid()).select(row_key().alias("record_key"), ROW_ORD, "_kind")
-    after = first_wins(narrow, "record_key", [ROW_ORD]).agg(
+    if kept is None:
+        narrow = flat.filter(is_valid()).select(row_key().alias("record_key"), ROW_ORD)
+        kept = first_wins(narrow, "record_key", [ROW_ORD])
+    # The two last places of the order are those of the comment and of the reply.
+    comment, reply = F.element_at(ROW_ORD, -2), F.element_at(ROW_ORD, -1)
+    after = kept.agg(
         F.count(F.lit(1)).alias("output_rows"),
-        F.count_if(F.col("_kind") == "comment").alias("comments_exploded"),
-        F.count_if(F.col("_kind") == "reply").alias("replies_exploded"),
+        F.count_if((comment >= 0) & (reply < 0)).alias("comments_exploded"),
+        F.count_if(reply >= 0).alias("replies_exploded"),
     )
     both = before.unionByName(after, allowMissingColumns=True)
     totals = both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in both.columns])

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from talkloom.functions.keys import row_key
 from talkloom.operators.batches import build_requests, failed_rows, join_responses, response_usage
-from talkloom.operators.dedup import first_rows, first_wins, skip_seen
+from talkloom.operators.dedup import first_rows, first_wins, relevant_history, skip_seen
 from talkloom.operators.numbering import assign_batches
 from talkloom.operators.routing import decided_rows, label_candidates, route_rows
 from talkloom.operators.summaries import (
@@ -32,10 +32,12 @@ from talkloom.plans.store import (
     ORDER,
     Store,
     commit_stage,
+    mark_consumed,
     ordered_source,
     quarantine,
     read_master,
     read_state,
+    unread_runs,
     write_summary,
 )
 from talkloom.schemas import CLASSIFICATION, REQUEST, ROW_ORD, STANDARDIZED, VALID_AI_HEALTHCARE
@@ -62,12 +64,38 @@ _CANDIDATE = T.StructType(
 )
 
 
-def select_new(rows: DataFrame, seen: DataFrame | None, limit: int | None) -> DataFrame:
-    """First ``limit`` input rows, then first of every key, then the ones not seen."""
-    rows = first_rows(ordered_source(rows), limit, ORDER).withColumn("record_key", row_key())
+def select_new(rows: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """First row of every key, then the ones not seen.
+
+    The keys are sized from a scan of the key columns alone.
+    """
+    rows = ordered_source(rows).withColumn("record_key", row_key())
+    if seen is not None:
+        seen = relevant_history(seen, rows.select("record_key"))
     return skip_seen(first_wins(rows, "record_key", ORDER), seen)
 
 
+def stage_input(
+    spark: SparkSession,
+    store: Store,
+    stage: str,
+    master: DataFrame,
+    source: DataFrame | None,
+    limit: int | None,
+    force: bool,
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(all input rows, those to look at, sizes of the runs among them).
+
+    Without a source of its own, a stage reads the master before it and leaves out the
+    runs it is through with; the counters still speak of the whole input.
+    """
+    rows = first_rows(ordered_source(source if source is not None else master), limit, ORDER)
+    if source is not None or limit is not None or force:
+        return rows, rows, None
+    unread, sizes = unread_runs(spark, store, stage, master)
+    return rows, unread, sizes
+
+
 def pending_keys(spark: SparkSession, store: Store) -> DataFrame:
     """Keys that wait for a response, so a later run does not request them again."""
     waiting = read_table(spark, f"{store.root}/requests/{STAGE}/candidates", _CANDIDATE)
@@ -91,13 +119,13 @@ def run_classification(
 ) -> DataFrame:
     """Route, request and commit; returns the summary rows."""
     prepare_session(spark)
-    rows = source if source is not None else read_master(spark, store, "standardized", STANDARDIZED)
-    rows = first_rows(ordered_source(rows), limit, ORDER)
+    master = read_master(spark, store, "standardized", STANDARDIZED)
+    rows, unread, sizes = stage_input(spark, store, STAGE, master, source, limit, force)
     seen = None
     if not force:
         seen = seen_keys(read_master(spark, store, TABLE, CLASSIFICATION), read_state(spark, store, STAGE))
         seen = seen.unionByName(pending_keys(spark, store))
-    routed = route_rows(select_new(rows, seen, None), matcher, prefilter_only)
+    routed = route_rows(select_new(unread, seen), matcher, prefilter_only)
     work = store.snapshot(STAGE, run_id, "routed")
     # Texts are scanned for terms once; both branches read the written routes.
     routed.select(*_ROUTED.fieldNames()[:8], "available_terms", "model_used", "model_classification", ROW_ORD, "record_key", "route").write.mode(
@@ -125,6 +153,8 @@ def run_classification(
             quarantine(failed_rows(join_responses(candidates, responses), STAGE, run_ts), store)
             usage = response_usage(responses, model)
     written = _commit(outputs, store, run_id, run_ts)
+    if sizes is not None:
+        mark_consumed(sizes, store, STAGE)
     if usage is not None and prices is not None:
         write_summary(price_usage(sum_usage(usage), prices), store, STAGE, run_id, "cost")
     if prefilter_only:
@@ -146,7 +176,7 @@ def collect_classification(
     prepare_session(spark)
     candidates = read_table(spark, f"{store.root}/requests/{STAGE}/candidates", _CANDIDATE)
     seen = seen_keys(read_master(spark, store, TABLE, CLASSIFICATION), read_state(spark, store, STAGE))
-    candidates = skip_seen(candidates, seen)
+    candidates = skip_seen(candidates, relevant_history(seen, candidates.select("record_key")))
     quarantine(failed_rows(join_responses(candidates, responses), STAGE, run_ts), store)
     return _commit(label_candidates(candidates, responses, model, run_ts), store, run_id, run_ts)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from talkloom.functions.keys import extraction_key
 from talkloom.functions.text import blank_if_null, null_if_blank
-from talkloom.operators.dedup import first_wins, skip_seen
+from talkloom.operators.dedup import first_wins, relevant_history, skip_seen
 from talkloom.operators.summaries import counts, difference, distributions, platform_count, union_metrics
 from talkloom.plans.store import Store, commit_stage, quarantine, read_master, read_state, write_summary
 from talkloom.schemas import EXTRACTION, EXTRACTION_COLUMNS, QUARANTINE_COLUMNS, ROW_ORD
@@ -32,10 +32,14 @@ def conform_extraction(rows: DataFrame) -> DataFrame:
     return rows.select(*[pick(c) for c in EXTRACTION_COLUMNS], *extra)
 
 
-def select_new_rows(landed: DataFrame, seen: DataFrame | None) -> DataFrame:
-    """First landing of every (platform, id) in job order, then the ones not seen."""
+def first_landings(landed: DataFrame) -> DataFrame:
+    """First landing of every (platform, id) in job order."""
     keyed = conform_extraction(landed).withColumn("record_key", extraction_key())
-    return skip_seen(first_wins(keyed, "record_key", [ROW_ORD]), seen)
+    return first_wins(keyed, "record_key", [ROW_ORD])
+
+
+def select_new_rows(landed: DataFrame, seen: DataFrame | None) -> DataFrame:
+    return skip_seen(first_landings(landed), seen)
 
 
 def attach_comments(rows: DataFrame, comments: DataFrame) -> DataFrame:
@@ -83,10 +87,12 @@ def run_extraction(
 ) -> DataFrame:
     """Commit landed rows (extraction columns and ``row_ord``); returns the summary rows."""
     prepare_session(spark)
+    rows = settle(first_landings(landed))  # landed payloads are parsed once
     seen = None
     if not force:
         seen = extraction_seen(read_master(spark, store, TABLE, EXTRACTION), read_state(spark, store, STAGE))
-    rows = select_new_rows(landed, seen)
+        seen = relevant_history(seen, rows.select("record_key"))
+    rows = skip_seen(rows, seen)
     if comments is not None:
         rows = attach_comments(rows, comments)
     written = commit_stage(

@@ -18,17 +18,16 @@ from talkloom.operators.batches import (
     join_responses,
     response_usage,
 )
-from talkloom.operators.dedup import first_rows, skip_seen
+from talkloom.operators.dedup import relevant_history, skip_seen
 from talkloom.operators.langid import LanguageSettings, decide, early_reason, goes_to_batch
 from talkloom.operators.numbering import assign_batches
 from talkloom.operators.routing import provided_label
 from talkloom.operators.summaries import counts, distributions, platform_count, price_usage, sum_usage, union_metrics
-from talkloom.plans.classification import VALID_TABLE, Labeller, select_new, skipped_rows
+from talkloom.plans.classification import VALID_TABLE, Labeller, select_new, skipped_rows, stage_input
 from talkloom.plans.store import (
-    ORDER,
     Store,
     commit_stage,
-    ordered_source,
+    mark_consumed,
     quarantine,
     read_master,
     read_state,
@@ -161,14 +160,14 @@ def run_language(
     """
     prepare_session(spark)
     settings = settings or LanguageSettings()
-    rows = source if source is not None else read_master(spark, store, VALID_TABLE, CLASSIFICATION)
-    rows = first_rows(ordered_source(rows), limit, ORDER)
+    master = read_master(spark, store, VALID_TABLE, CLASSIFICATION)
+    rows, unread, sizes = stage_input(spark, store, STAGE, master, source, limit, force)
     requests_root = f"{store.root}/requests/{STAGE}"
     seen = None
     if not force:
         seen = seen_keys(read_master(spark, store, TABLE, LANGUAGE), read_state(spark, store, STAGE))
         seen = seen.unionByName(read_table(spark, f"{requests_root}/candidates", _CANDIDATE).select("record_key"))
-    routed = route_languages(select_new(rows, seen, None), scorer, settings)
+    routed = route_languages(select_new(unread, seen), scorer, settings)
     work = store.snapshot(STAGE, run_id, "routed")
     routed.select(*_ROUTED.fieldNames()).write.mode("overwrite").partitionBy("route").parquet(work)
     routed = read_table(spark, work, _ROUTED)
@@ -193,6 +192,8 @@ def run_language(
         if prices is not None:
             write_summary(price_usage(sum_usage(response_usage(responses, model)), prices), store, STAGE, run_id, "cost")
     written = commit_stage(outputs, store, STAGE, TABLE, LANGUAGE, run_id, run_ts)
+    if sizes is not None:
+        mark_consumed(sizes, store, STAGE)
     return write_summary(language_summary(rows, routed, written, sent), store, STAGE, run_id)
 
 
@@ -209,7 +210,7 @@ def collect_language(
     prepare_session(spark)
     candidates = read_table(spark, f"{store.root}/requests/{STAGE}/candidates", _CANDIDATE)
     seen = seen_keys(read_master(spark, store, TABLE, LANGUAGE), read_state(spark, store, STAGE))
-    candidates = skip_seen(candidates, seen)
+    candidates = skip_seen(candidates, relevant_history(seen, candidates.select("record_key")))
     quarantine(failed_rows(join_responses(candidates, responses), STAGE, run_ts), store)
     answered = answer_candidates(candidates, responses, model, run_ts, settings or LanguageSettings())
     return commit_stage(answered, store, STAGE, TABLE, LANGUAGE, run_id, run_ts)

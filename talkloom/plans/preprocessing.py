@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talkloom.operators.dedup import first_rows, skip_seen
+from talkloom.operators.dedup import first_rows, relevant_history, skip_seen
 from talkloom.operators.standardize import standardize, standardize_counts
 from talkloom.operators.summaries import counts, difference, distributions, platform_count, union_metrics
-from talkloom.plans.store import ORDER, Store, commit_stage, ordered_source, read_master, read_state, write_summary
+from talkloom.plans.store import (
+    ORDER,
+    Store,
+    commit_stage,
+    mark_consumed,
+    ordered_source,
+    read_master,
+    read_state,
+    unread_runs,
+    write_summary,
+)
 from talkloom.schemas import EXTRACTION, STANDARDIZED
-from talkloom.session import prepare_session
+from talkloom.session import prepare_session, settle
 from talkloom.sources.tables import seen_keys
 
 STAGE = "preprocessing"
@@ -26,24 +36,37 @@ def run_preprocessing(
     limit: int | None = None,
     summarize: bool = True,
 ) -> DataFrame | None:
-    """Standardize what was not seen yet; returns the summary rows."""
+    """Standardize what was not seen yet; returns the summary rows.
+
+    Without ``source`` the input is the extraction master, less the runs that are known
+    to be through; its counters then cover the rows that were read.
+    """
     prepare_session(spark)
-    raw = ordered_source(source if source is not None else read_master(spark, store, "extraction_raw", EXTRACTION))
-    raw = first_rows(raw, limit, ORDER)
+    sizes = None
+    if source is None:
+        master = read_master(spark, store, "extraction_raw", EXTRACTION)
+        if not force and limit is None:
+            source, sizes = unread_runs(spark, store, STAGE, master)
+        else:
+            source = master
+    raw = first_rows(ordered_source(source), limit, ORDER)
+    # Parsed and cleaned once; sizing the keys, the anti-join and the counters read it.
+    rows = settle(standardize(raw))
     seen = None
     if not force:
         seen = seen_keys(read_master(spark, store, TABLE, STANDARDIZED), read_state(spark, store, STAGE))
-    # The dedup and the anti-join partition by the same key: one exchange serves both.
-    new_rows = skip_seen(standardize(raw), seen)
-    written = commit_stage(new_rows, store, STAGE, TABLE, STANDARDIZED, run_id, run_ts)
+        seen = relevant_history(seen, rows.select("record_key"))
+    written = commit_stage(skip_seen(rows, seen), store, STAGE, TABLE, STANDARDIZED, run_id, run_ts)
+    if sizes is not None:
+        mark_consumed(sizes, store, STAGE)
     if not summarize:
         return None
-    return write_summary(preprocessing_summary(raw, written), store, STAGE, run_id)
+    return write_summary(preprocessing_summary(raw, written, rows), store, STAGE, run_id)
 
 
-def preprocessing_summary(raw: DataFrame, new_rows: DataFrame) -> DataFrame:
+def preprocessing_summary(raw: DataFrame, new_rows: DataFrame, kept: DataFrame | None = None) -> DataFrame:
     """Counters of the transform (before skip-seen) and of the rows that were added."""
-    transform = standardize_counts(raw)
+    transform = standardize_counts(raw, kept)
     added = counts(new_rows, {"new_rows_added": F.count(F.lit(1)), "num_platforms": platform_count()})
     both = union_metrics(transform, added)
     skipped = difference(both, "skipped_existing_rows", "output_rows", "new_rows_added")

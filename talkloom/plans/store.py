@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from talkloom.functions.keys import row_key
 from talkloom.functions.text import blank_if_null, null_if_blank
 from talkloom.schemas import QUARANTINE, ROW_ORD, STATE, STATE_COLUMNS
+from talkloom.session import settle
 from talkloom.sources.tables import conform, read_table
 
 _TECHNICAL = [T.StructField(ROW_ORD, T.ArrayType(T.LongType())), T.StructField("run_id", T.StringType())]
@@ -58,6 +59,39 @@ def read_state(spark: SparkSession, store: Store, stage: str) -> DataFrame:
     return read_table(spark, store.state(stage), STATE)
 
 
+def _consumed_path(store: Store, stage: str) -> str:
+    return f"{store.root}/state/{stage}_consumed"
+
+
+_CONSUMED = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("rows", T.LongType())])
+
+
+def run_sizes(master: DataFrame) -> DataFrame:
+    """(run_id, rows) of a master table, from partition values and row counts alone."""
+    return master.groupBy("run_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def unread_runs(spark: SparkSession, store: Store, stage: str, master: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(master rows a stage has not gone through, sizes of the runs they come from).
+
+    A stage reads the whole master of the stage before it and skips what it has seen.
+    Runs it went through completely hold nothing else, so their partitions are not
+    scanned again. A run counts as gone through only while it has the same number of
+    rows; masters only grow, so a run that was added to is read again.
+    """
+    consumed = read_table(spark, _consumed_path(store, stage), _CONSUMED)
+    # One short row per run on the driver, the same list Spark keeps of the partitions.
+    done = {(r["run_id"], r["rows"]) for r in consumed.collect()}
+    sizes = [(r["run_id"], r["rows"]) for r in run_sizes(master).collect()]
+    unread = [s for s in sizes if s not in done]
+    rows = master.filter(F.col("run_id").isin([run for run, _ in unread])) if len(unread) < len(sizes) else master
+    return rows, spark.createDataFrame(unread, _CONSUMED)
+
+
+def mark_consumed(sizes: DataFrame, store: Store, stage: str) -> None:
+    append_table(sizes, _consumed_path(store, stage))
+
+
 def ordered_source(df: DataFrame) -> DataFrame:
     """A stage input with its order columns; a plain file scan is ordered as scanned."""
     if ROW_ORD not in df.columns:
@@ -134,7 +168,8 @@ def commit_stage(
 
 
 def quarantine(errors: DataFrame, store: Store) -> int:
-    return append_table(conform(errors, QUARANTINE.fieldNames()), store.quarantine())
+    # Counted and written, hence evaluated once.
+    return append_table(settle(conform(errors, QUARANTINE.fieldNames())), store.quarantine())
 
 
 def write_summary(metrics: DataFrame, store: Store, stage: str, run_id: str, name: str = "summary") -> DataFrame:

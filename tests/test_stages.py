@@ -399,3 +399,42 @@ def test_summary_document(spark, store):
     doc = summary_document(lines.selectExpr("metric", "coalesce(key,'') key", "value")).first()
     assert doc.counters["new_rows_added"] == 1
     assert json.loads(doc.distributions["platform_distribution"]) == {"reddit": 1}
+
+
+# ---- runs that were gone through -------------------------------------------
+
+
+def test_stages_chain_and_reread_only_what_grew(spark, store):
+    from talkloom.plans.store import unread_runs
+
+    first = extraction(spark, {"platform": "reddit", "id": "1", "text": "AI hospital"}, {"platform": "reddit", "id": "2", "text": "b"})
+    run_preprocessing(spark, store, "p1", RUN_TS, first)
+    stats = metrics_of(run_classification(spark, store, "c1", RUN_TS, MATCHER, MODEL, prefilter_only=True))
+    assert (stats[("input_rows", "")], stats[("new_rows_processed", "")]) == (2, 2)
+    master = read_master(spark, store, "standardized", STANDARDIZED)
+    assert unread_runs(spark, store, "classification", master)[0].count() == 0
+    more = extraction(spark, {"platform": "reddit", "id": "3", "text": "c"}, {"platform": "reddit", "id": "1", "text": "again"})
+    run_preprocessing(spark, store, "p2", RUN_TS, more)
+    unread, sizes = unread_runs(spark, store, "classification", read_master(spark, store, "standardized", STANDARDIZED))
+    assert rows_of(unread, "id") == [("3",)] and rows_of(sizes) == [("p2", 1)]
+    stats = metrics_of(run_classification(spark, store, "c2", RUN_TS, MATCHER, MODEL, prefilter_only=True))
+    assert [stats[(m, "")] for m in ("input_rows", "new_rows_processed", "skipped_existing_rows")] == [3, 1, 2]
+    # A run that is added to under its old name is read again, whole.
+    run_preprocessing(spark, store, "p1", RUN_TS, extraction(spark, {"platform": "reddit", "id": "4", "text": "d"}))
+    unread, _ = unread_runs(spark, store, "classification", read_master(spark, store, "standardized", STANDARDIZED))
+    assert rows_of(unread, "id") == [("1",), ("2",), ("4",)]
+    stats = metrics_of(run_classification(spark, store, "c3", RUN_TS, MATCHER, MODEL, prefilter_only=True))
+    assert [stats[(m, "")] for m in ("input_rows", "new_rows_processed", "skipped_existing_rows")] == [4, 1, 3]
+    stats = metrics_of(run_language(spark, store, "l1", RUN_TS, MODEL))
+    assert stats[("input_rows", "")] == 1
+    assert read_master(spark, store, "classification_all", CLASSIFICATION).count() == 4
+
+
+def test_history_is_shuffled_only_for_large_batches(spark):
+    from talkloom.operators.dedup import relevant_history, skip_seen
+
+    seen = spark.range(1000).selectExpr("concat('k', id) record_key")
+    batch = spark.range(990, 1010).selectExpr("concat('k', id) record_key")
+    for limit in (None, 10):
+        kept = skip_seen(batch, relevant_history(seen, batch, limit))
+        assert rows_of(kept) == [(f"k{i}",) for i in range(1000, 1010)]
