@@ -9,7 +9,7 @@ from talkloom.functions.keys import row_key
 from talkloom.operators.dedup import first_wins, skip_seen
 from talkloom.plans.extraction import conform_extraction, run_extraction
 from talkloom.plans.preprocessing import run_preprocessing
-from talkloom.plans.store import Store, append_table, commit_stage, read_master, read_state, write_table
+from talkloom.plans.store import Store, append_table, commit_stage, export_csv, read_master, read_state, write_table
 from talkloom.schemas import EXTRACTION, STANDARDIZED, text_schema
 from talkloom.sources.tables import read_table, read_values, seen_keys
 from talkloom.streaming.runner import read_landing, stream_preprocessing
@@ -87,9 +87,7 @@ def csv_roundtrip(spark, sf):
     """Raw documents through a CSV table: line breaks, quotes and outer blanks survive."""
     path = scratch(spark)
     rows = table(spark, sf, "documents").select("text", F.col("doc_id").cast("string").alias("id"))
-    rows.write.options(
-        header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(path)
+    export_csv(rows, path, ["text", "id"])
     return read_table(spark, path, STANDARDIZED, "csv").select("id", "text", "category")
 
 

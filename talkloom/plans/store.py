@@ -106,6 +106,14 @@ def write_table(df: DataFrame, path: str, columns) -> None:
     conform(df, columns).write.mode("overwrite").parquet(path)
 
 
+def export_csv(df: DataFrame, path: str, columns) -> None:
+    """A table as CSV that ``read_table(..., "csv")`` and any RFC 4180 reader gives back:
+    line breaks, quotes and outer blanks survive, missing values are empty cells."""
+    conform(df, columns).write.mode("overwrite").options(
+        header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+
+
 def append_table(df: DataFrame, path: str, partition_by: str | None = None) -> int:
     """Append and return the number of rows; no rows create nothing."""
     rows = df.count()

@@ -7,7 +7,7 @@ own field names, plus the context of the request that brought the item:
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -256,3 +256,29 @@ REGISTRY: dict[str, tuple[Callable[..., DataFrame], Callable[..., DataFrame]]] =
     "youtube": (youtube_videos, youtube_comments),
     "twitter": (tweets, twitter_comments),
 }
+
+
+def land_payloads(payloads: Mapping[str, DataFrame], run_ts: str, registry=None) -> DataFrame:
+    """Extraction rows of several platforms; a platform nobody registered is an error."""
+    return _per_platform(payloads, registry or REGISTRY, 0, run_ts)
+
+
+def land_comments(threads: Mapping[str, DataFrame], limit: int | None = 500, registry=None) -> DataFrame:
+    """Comment lists of several platforms."""
+    return _per_platform(threads, registry or REGISTRY, 1, limit)
+
+
+def _per_platform(frames: Mapping[str, DataFrame], registry, place: int, argument) -> DataFrame:
+    unknown = sorted(set(frames) - set(registry))
+    if unknown or not frames:
+        raise ValueError(f"no payload transform for platforms: {', '.join(unknown) or 'none given'}")
+    parts = [registry[name][place](frame, argument) for name, frame in sorted(frames.items())]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    return rows
+
+
+def first_results(rows: DataFrame, limit: int = 100) -> DataFrame:
+    """The first ``limit`` results of every job, by their place in the answer (``pos``)."""
+    return rows.filter(F.col("pos") < limit)

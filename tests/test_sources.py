@@ -2,6 +2,7 @@ import csv
 import hashlib
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from talkloom.operators.standardize import standardize
@@ -17,7 +18,10 @@ from talkloom.sources.payloads import (
     TWEETS,
     YOUTUBE_THREADS,
     YOUTUBE_VIDEO,
+    first_results,
     keyword_videos,
+    land_comments,
+    land_payloads,
     reddit_comments,
     reddit_posts,
     tag_keyword,
@@ -273,6 +277,12 @@ def test_tweet_payloads(spark, tmp_path):
     talk = landed(spark, tmp_path, "co", TWEETS, {"source_id": "1", "data": [{"id": "1"}, {"id": "2", "text": "a"}, {"id": "3"}]})
     assert [c["id"] for c in json.loads(twitter_comments(talk, 2).first().comments_json)] == ["2"]
     assert set(REGISTRY) == {"reddit", "youtube", "twitter"}
+    assert land_payloads({"twitter": items}, RUN_TS).count() == 2 and land_comments({"twitter": talk}, 1).first().comments_json == "[]"
+    own = {"forum": (lambda df, run_ts: df.select(F.lit("forum").alias("platform"), "id"), None)}
+    assert rows_of(land_payloads({"forum": items}, RUN_TS, own), "platform", "id") == [("forum", "1"), ("forum", "2")]
+    with pytest.raises(ValueError, match="no payload transform for platforms: forum"):
+        land_payloads({"forum": items}, RUN_TS)
+    assert rows_of(first_results(spark.range(5).withColumnRenamed("id", "pos"), 2)) == [(0,), (1,)]
 
 
 # ---- extraction ------------------------------------------------------------
