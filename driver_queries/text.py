@@ -120,9 +120,10 @@ def benchmark_dictionary(spark, sf):
     return first.unionByName(last)
 
 
+# Terms are folded like the texts they are looked up in.
 DICTIONARY = r"""words AS (SELECT string_split(trim(lower(regexp_replace(text, '[^\p{L}]+', ' ', 'g'))), ' ') AS w FROM benchmark),
-terms AS (SELECT DISTINCT 'ai_terms' AS grp, w[1] AS stem, w[1] || '*' AS term FROM words
-  UNION SELECT DISTINCT 'health_terms', w[len(w)], w[len(w)] FROM words)"""
+terms AS (SELECT DISTINCT 'ai_terms' AS grp, replace(w[1], 'ß', 'ss') AS stem, w[1] || '*' AS term FROM words
+  UNION SELECT DISTINCT 'health_terms', replace(w[len(w)], 'ß', 'ss'), w[len(w)] FROM words)"""
 _PATTERNS = (
     "patterns AS (SELECT "
     f"'(^|{NOT_WORD})(' || (SELECT string_agg(stem, '|') FROM terms WHERE grp = 'ai_terms') || '){WORD[:-1]}-]*($|{NOT_WORD})' AS pa, "

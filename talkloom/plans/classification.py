@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from talkloom.functions.keys import row_key
 from talkloom.operators.batches import build_requests, failed_rows, join_responses, response_usage
-from talkloom.operators.dedup import first_rows, first_wins, relevant_history, skip_seen
+from talkloom.operators.dedup import drop_repeats, first_rows, relevant_history, skip_seen
 from talkloom.operators.numbering import assign_batches
 from talkloom.operators.routing import decided_rows, label_candidates, route_rows
 from talkloom.operators.summaries import (
@@ -67,12 +67,12 @@ _CANDIDATE = T.StructType(
 def select_new(rows: DataFrame, seen: DataFrame | None) -> DataFrame:
     """First row of every key, then the ones not seen.
 
-    The keys are sized from a scan of the key columns alone.
+    Repeats and history are looked up with scans of the key columns alone.
     """
     rows = ordered_source(rows).withColumn("record_key", row_key())
     if seen is not None:
         seen = relevant_history(seen, rows.select("record_key"))
-    return skip_seen(first_wins(rows, "record_key", ORDER), seen)
+    return skip_seen(drop_repeats(rows, "record_key", ORDER), seen)
 
 
 def stage_input(

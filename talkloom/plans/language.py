@@ -43,7 +43,7 @@ from talkloom.schemas import (
     REQUEST,
     ROW_ORD,
 )
-from talkloom.session import prepare_session
+from talkloom.session import prepare_session, settle
 from talkloom.sources.tables import read_table, seen_keys
 
 STAGE = "language_detection"
@@ -167,7 +167,8 @@ def run_language(
     if not force:
         seen = seen_keys(read_master(spark, store, TABLE, LANGUAGE), read_state(spark, store, STAGE))
         seen = seen.unionByName(read_table(spark, f"{requests_root}/candidates", _CANDIDATE).select("record_key"))
-    routed = route_languages(select_new(unread, seen), scorer, settings)
+    # Three branches read the selection: provided labels, the scorer and the ladder.
+    routed = route_languages(settle(select_new(unread, seen)), scorer, settings)
     work = store.snapshot(STAGE, run_id, "routed")
     routed.select(*_ROUTED.fieldNames()).write.mode("overwrite").partitionBy("route").parquet(work)
     routed = read_table(spark, work, _ROUTED)

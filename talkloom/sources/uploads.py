@@ -39,6 +39,9 @@ DEFAULT_JSON_METHOD = "manual_upload_json"
 FIRST_RECORD_NUMBER = 2
 # --- end of fixed values ---
 
+# One path and one number per file: some 20 MB at most.
+MAX_BROADCAST_FILES = 100_000
+
 _RECORD_COLUMNS = (
     "file_name",
     "record_no",
@@ -160,6 +163,8 @@ def _read_layout(spark: SparkSession, names: Sequence[str], paths: Sequence[str]
     # number of a record is its distance from the file's first id: no sort, and no
     # file gathered anywhere.
     starts = cells.groupBy(F.col("_path").alias("_file")).agg(F.min("_at").alias("_start"))
+    if len(paths) <= MAX_BROADCAST_FILES:
+        starts = F.broadcast(starts)
     numbered = records.join(starts, F.col("_path") == F.col("_file"))
     return numbered.withColumn("record_no", F.col("_at") - F.col("_start") + FIRST_RECORD_NUMBER).select(*_RECORD_COLUMNS)
 
@@ -320,6 +325,8 @@ def with_upload_order(rows: DataFrame, files: DataFrame) -> DataFrame:
     places = files.select(
         F.col("file_name").alias("_file"), F.row_number().over(by_name).cast("bigint").alias("_file_no")
     )
+    if files.count() <= MAX_BROADCAST_FILES:
+        places = F.broadcast(places)
     return (
         rows.join(places, F.col("file_name") == F.col("_file"))
         .withColumn(ROW_ORD, F.array(F.col("_file_no"), F.col("record_no"), F.col("result_index")))

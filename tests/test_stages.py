@@ -438,3 +438,16 @@ def test_history_is_shuffled_only_for_large_batches(spark):
     for limit in (None, 10):
         kept = skip_seen(batch, relevant_history(seen, batch, limit))
         assert rows_of(kept) == [(f"k{i}",) for i in range(1000, 1010)]
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert limit is not None or "BroadcastHashJoin" in plan
+
+
+def test_repeats_are_dropped_on_every_path(spark):
+    from talkloom.operators.dedup import drop_repeats
+
+    unique = spark.range(50).selectExpr("concat('k', id) record_key", "id pos", "'first' v")
+    again = spark.range(10, 5000).selectExpr("case when id % 3 = 0 then 'k7' else concat('k', id % 40) end record_key", "id + 100 pos", "'later' v")
+    wanted = rows_of(unique)
+    assert rows_of(drop_repeats(unique, "record_key", ["pos"])) == wanted
+    for limit in (None, 10):
+        assert rows_of(drop_repeats(unique.unionByName(again), "record_key", ["pos"], limit)) == wanted
