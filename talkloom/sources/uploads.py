@@ -26,6 +26,7 @@ from talkloom.functions.text import blank_if_null, first_filled, null_if_blank,
 from talkloom.operators.dedup import first_wins
 from talkloom.operators.summaries import long_metrics, union_metrics
 from talkloom.schemas import EXTRACTION_COLUMNS, ROW_ORD
+from talkloom.session import spread
 from talkloom.sources.tables import CSV_OPTIONS
 
 # --- fixed values: column aliases and defaults of uploaded files ---
@@ -106,7 +107,8 @@ def read_records(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Da
     records = parts[0]
     for part in parts[1:]:
         records = records.unionByName(part)
-    return records
+    # Numbered already: records of few files may now part from their file's one task.
+    return spread(records)
 
 
 def _decoded(column: str) -> Column:
