@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talkloom.llm import ecoc_language, exact_dedup, ring_sharding, url_filter
+from talkloom.llm import ecoc_language, exact_dedup, packing, ring_sharding, training_order, url_filter
+
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer() -> str:
+    """The place of the public vocabulary file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,10 +72,22 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous", "codeword_bits")
 
 
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the shard files into the shared folder; returns where each document went."""
+    where, manifest, _ = training_order.materialise(documents(spark, sf_dir).select("doc_id", "text"), tokenizer(), key=20260101)
+    return where.join(manifest.select("shard", "first_slot", "file_bytes", "file_crc32"), "shard")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir).select("doc_id", "text"), tokenizer())
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sharding": op4_sharding,
     "op6_url_filter": op6_url_filter,
     "op8_language_id": op8_language_id,
+    "op9_training_order": op9_training_order,
+    "op10_packing": op10_packing,
 }
 ORACLES = {"op2_exact_dedup": OP2_SQL, "op6_url_filter": OP6_SQL}
