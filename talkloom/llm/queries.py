@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talkloom.llm import ecoc_language, exact_dedup, packing, ring_sharding, training_order, url_filter
+from talkloom.llm import ecoc_language, exact_dedup, jaccard_join, packing, ring_sharding, training_order, url_filter
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -45,6 +45,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
@@ -85,6 +89,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sharding": op4_sharding,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_url_filter": op6_url_filter,
     "op8_language_id": op8_language_id,
     "op9_training_order": op9_training_order,
