@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talkloom.llm import ecoc_language, exact_dedup, jaccard_join, packing, ring_sharding, training_order, url_filter
+from talkloom.llm import decontaminate, ecoc_language, exact_dedup, jaccard_join, packing, ring_sharding, toxicity_knn, training_order, url_filter
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,6 +26,15 @@ def remainder(n: int):
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(3) == 1
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    index = toxicity_knn.fit(docs, docs.where(~held_out).join(labels, "doc_id").withColumnRenamed("doc_id", "id"))
+    scored = toxicity_knn.score(docs, index)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     digest = F.sha2(exact_dedup.normalised(F.col("text")).cast("binary"), 256)
@@ -38,6 +47,11 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
   row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256 FROM n"""
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return decontaminate.find_passages(documents(spark, sf_dir).select("doc_id", "text"), benchmark)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = documents(spark, sf_dir).select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
@@ -87,7 +101,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_sharding": op4_sharding,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_url_filter": op6_url_filter,
