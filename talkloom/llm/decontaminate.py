@@ -28,8 +28,8 @@ from talkloom.llm.work import Work
 
 #: Edits allowed, as a share of an item's words: similarity of 0.75 or more.
 EDITS = 0.25
-WALKS, SAMPLES, PLACES = 8, 6, 3
-CLASS_STEP = 8
+WALKS, SAMPLES, PLACES = 4, 10, 4
+CLASS_STEP = 4
 BLOCK_ITEMS = 20_000
 WINDOWS_AT_ONCE = 1 << 15
 U = np.uint64
@@ -40,12 +40,12 @@ def size_class(words: int) -> int:
 
 
 def embed(windows: np.ndarray, walk: int) -> np.ndarray:
-    """(windows, size) of word hashes to the first 1.5 * size places of the CGK embedding."""
+    """(windows, size) of word hashes to the first 1.25 * size places of the CGK embedding."""
     n, size = windows.shape
     at = np.zeros(n, np.int64)
     rows = np.arange(n)
     padded = np.concatenate([windows, np.zeros((n, 1), U)], axis=1)
-    out = np.empty((n, max(1, size * 3 // 2)), U)
+    out = np.empty((n, max(1, size * 5 // 4)), U)
     for j in range(out.shape[1]):
         word = padded[rows, at]
         out[:, j] = word
@@ -55,10 +55,10 @@ def embed(windows: np.ndarray, walk: int) -> np.ndarray:
 
 
 def samples(size: int) -> np.ndarray:
-    """(walks, samples, places): which places of the embedding make a key."""
+    """(walks, samples, places): which places of the embedding make a key, one from each stretch of it."""
     rng = np.random.default_rng(size)
-    length = max(1, size * 3 // 2)
-    return rng.integers(0, length, (WALKS, SAMPLES, PLACES))
+    length = max(1, size * 5 // 4)
+    return ((np.arange(PLACES) + rng.random((WALKS, SAMPLES, PLACES))) * length / PLACES).astype(np.int64)
 
 
 def keys(embedded: np.ndarray, places: np.ndarray, walk: int) -> np.ndarray:
@@ -102,6 +102,7 @@ class Index:
         self.items = [words.hash[a:b] for a, b in zip(words.bound[:-1], words.bound[1:])]
         self.classes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.places: dict[int, np.ndarray] = {}
+        self.key_cells: dict[int, np.ndarray] = {}
         by_class: dict[int, list[int]] = {}
         for i, item in enumerate(self.items):
             if len(item):
@@ -113,23 +114,32 @@ class Index:
             flat, who = found.ravel(), np.repeat(np.array(members), found.shape[1])
             order = np.argsort(flat, kind="stable")
             self.classes[size] = flat[order], who[order]
-        known = [run_hash(x, 2) for x in self.items if len(x) > 1]
-        self.pairs = np.unique(np.concatenate(known)) if known else np.zeros(0, U)
+            self.key_cells[size] = np.zeros(1 << 20, bool)
+            self.key_cells[size][(flat >> U(44)).astype(np.int64)] = True
+        self.own_pairs = [run_hash(x, 2) for x in self.items]
+        self.longest = {size: max(len(self.items[i]) for i in members) for size, members in by_class.items()}
+        every, items_with = np.unique(np.concatenate([np.zeros(0, U), *map(np.unique, self.own_pairs)]), return_counts=True)
+        self.pairs, self.rare = every, items_with == 1
+        #: pairs of each class's poorest item that no other item has
+        own_rare = [int(self.rare[np.searchsorted(every, x)].sum()) for x in self.own_pairs]
+        self.poorest = {size: min(int(self.rare[np.searchsorted(every, run_hash(self.items[i][:size], 2))].sum()) if own_rare[i] else 0 for i in members) for size, members in by_class.items()}
         self.single = np.unique(np.concatenate([x for x in self.items if len(x)])) if any(map(len, self.items)) else np.zeros(0, U)
         # a small table of hash cells answers most look-ups of pairs
         self.cells = np.zeros(1 << 20, bool)
         self.cells[(self.pairs >> U(44)).astype(np.int64)] = True
 
-    def hits(self, words: Words) -> np.ndarray:
-        """Per word: whether it and the next one are a pair of some item."""
+    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Per word: whether it and the next one are a pair of some item; of one item only."""
         pair = run_hash(words.hash, 2)
-        out = np.zeros(len(words.hash), bool)
+        out, rare = np.zeros(len(words.hash), bool), np.zeros(len(words.hash), bool)
         maybe = np.flatnonzero(self.cells[(pair >> U(44)).astype(np.int64)])
-        if len(maybe):
-            out[maybe] = self.pairs[np.minimum(np.searchsorted(self.pairs, pair[maybe]), len(self.pairs) - 1)] == pair[maybe]
+        if len(maybe) and len(self.pairs):
+            place = np.minimum(np.searchsorted(self.pairs, pair[maybe]), len(self.pairs) - 1)
+            out[maybe] = self.pairs[place] == pair[maybe]
+            rare[maybe] = out[maybe] & self.rare[place]
         last = words.bound[1:][np.diff(words.bound) > 0] - 1
-        out[last] = False
-        return out
+        out[last] = rare[last] = False
+        return out, rare
 
     def candidates(self, words: Words) -> set[tuple[int, int, int]]:
         """(text, item, word place) of key hits."""
@@ -138,15 +148,19 @@ class Index:
         if not n:
             return found
         doc = words.doc()
-        total = np.concatenate([[0], np.cumsum(self.hits(words))])
+        total, rare = (np.concatenate([[0], np.cumsum(h)]) for h in self.hits(words))
         padded = np.concatenate([words.hash, np.zeros(max(self.classes, default=0), U)])
         for size, (known, who) in self.classes.items():
-            edits = int(EDITS * (size + CLASS_STEP - 1 if size >= CLASS_STEP else size))
+            edits = int(EDITS * self.longest[size])
             least = size - 1 - 2 * edits  # pairs that must remain
-            end = np.minimum(np.arange(n) + size - 1, words.bound[doc + 1] - 1)
-            inside = total[np.maximum(end, 0)] - total[:n]
-            if least > 0:
-                starts = np.flatnonzero(inside >= least)
+            least_rare = self.poorest[size] - 2 * edits
+            if max(least, least_rare) > 0:
+                fit = np.ones(n, bool)
+                for low, count in ((least, total), (least_rare, rare)):
+                    if low > 0:
+                        reach = np.concatenate([count[size - 1 : n], np.full(min(n, size - 1), count[n])])
+                        fit &= reach - count[:n] >= low
+                starts = np.flatnonzero(fit)
             else:  # so short that nothing can be ruled out by pairs: windows that hold a word of an item
                 starts = np.flatnonzero(np.isin(words.hash, self.single))
             for at in range(0, len(starts), WINDOWS_AT_ONCE):
@@ -155,10 +169,12 @@ class Index:
                 windows = np.where(grid < words.bound[doc[part] + 1][:, None], padded[grid], U(0))
                 for walk in range(WALKS):
                     key = keys(embed(windows, walk), self.places[size], walk)
-                    lo = np.searchsorted(known, key.ravel(), "left")
-                    hi = np.searchsorted(known, key.ravel(), "right")
+                    key = key.ravel()
+                    maybe = np.flatnonzero(self.key_cells[size][(key >> U(44)).astype(np.int64)])
+                    lo = np.searchsorted(known, key[maybe], "left")
+                    hi = np.searchsorted(known, key[maybe], "right")
                     for k in np.flatnonzero(hi > lo).tolist():
-                        place = int(part[k // SAMPLES])
+                        place = int(part[maybe[k] // SAMPLES])
                         for item in set(who[lo[k] : hi[k]].tolist()):
                             found.add((int(doc[place]), item, place))
         return found
@@ -181,10 +197,13 @@ class Index:
                 while to + 1 < len(spots) and spots[to + 1] - spots[to] <= len(want):
                     to += 1
                 a, b = max(lo, spots[at] - allowed - 1), min(hi, spots[to] + len(want) + allowed + 1)
+                at = to + 1
+                shared = np.isin(self.own_pairs[item], run_hash(words.hash[a:b], 2)).sum()
+                if shared < len(want) - 1 - 2 * allowed:  # each edit breaks two pairs at most
+                    continue
                 distance, start, end = edit_span(want, words.hash[a:b])
                 if distance <= allowed and (best is None or (distance, a + start) < best[:2]):
                     best = (distance, a + start, a + end)
-                at = to + 1
             if best:
                 out.append((text, item, best[1] - lo, best[2] - best[1], best[0]))
         return out

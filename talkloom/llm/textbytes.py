@@ -94,10 +94,17 @@ class Words:
         self.end = np.flatnonzero(after & ~space) + 1
         self.bound = np.searchsorted(self.start, off)
         up, down = powers(n)
-        total = np.zeros(n + 1, U)
-        np.cumsum((_LOWER if lower else _SAME)[data].astype(U) * up + up, out=total[1:])
-        raw = (total[self.end] - total[self.start]) * down[self.start]
-        self.hash = mix(raw + (self.end - self.start).astype(U) * U(0xD6E8FEB86659FD93))
+        self._total = np.zeros(n + 1, U)
+        np.cumsum((_LOWER if lower else _SAME)[data].astype(U) * up + up, out=self._total[1:])
+        self._down = down
+        self.hash = self.span_hash(self.start, self.end)
+
+    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64 bits per stretch of bytes; equal stretches anywhere have equal hashes."""
+        if not len(start):
+            return np.zeros(0, U)
+        raw = (self._total[end] - self._total[start]) * self._down[np.minimum(start, len(self._down) - 1)]
+        return mix(raw + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
 
     def count(self) -> np.ndarray:
         return np.diff(self.bound)

@@ -1,8 +1,8 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Terms are words and four-letter word beginnings (A-Z lower-cased, outer punctuation
+Terms are words and four-byte word beginnings (A-Z lower-cased, outer punctuation
 dropped), which catch families of words. From a bounded sample of labelled texts those terms are
-selected whose presence depends on the label (chi-square); their document
+selected whose presence makes label 1 likelier (chi-square); their document
 frequencies are counted over all texts. Examples with a selected term are indexed in
 blocks of similar ones; per term and block the largest weight is kept. For a text, the blocks'
 upper bounds are computed from those maxima, blocks are opened best first, and search ends when
@@ -14,13 +14,14 @@ without one and gets their share.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from talkloom.llm.textbytes import Words, slices
+
 #: Bound of the labelled sample, of the selected terms, and the chi-square a term needs.
 EXAMPLES = 20_000
 TERMS = 4_096
@@ -29,21 +30,58 @@ CHI_SQUARE = 30.0
 NEIGHBOURS = 15
 BLOCK = 64
 EVIDENCE = 3
-EDGE = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>|*_-"
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def terms_of(text: str) -> Counter:
-    """Words and their four-letter beginnings (marked ``*``) with counts."""
-    words = Counter(text.translate(_LOWER).split())
-    out: Counter = Counter()
-    for word, n in words.items():
-        word = word.strip(EDGE)
-        if word:
-            out[word] += n
-            if len(word) > 4:
-                out[word[:4] + "*"] += n
-    return out
+STEM_BYTES = 4
+_EDGE = np.zeros(256, bool)
+_EDGE[list(b".,;:!?\"'()[]{}<>|*_-")] = True
+U = np.uint64
+
+
+def trimmed(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words without outer punctuation; a word of punctuation alone becomes empty."""
+    start, end = words.start.copy(), words.end.copy()
+    some = np.flatnonzero(_EDGE[words.data[start]]) if len(start) else np.zeros(0, np.int64)
+    while len(some):
+        start[some] += 1
+        some = some[start[some] < end[some]]
+        some = some[_EDGE[words.data[start[some]]]]
+    some = np.flatnonzero(start < end)
+    some = some[_EDGE[words.data[end[some] - 1]]]
+    while len(some):
+        end[some] -= 1
+        some = some[_EDGE[words.data[end[some] - 1]]]
+    return start, end
+
+
+def terms_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(text, term) of every word without outer punctuation and of every beginning of a longer word; terms are hashes."""
+    start, end = trimmed(words)
+    full = start < end
+    doc, start, end = words.doc()[full], start[full], end[full]
+    long = end - start > STEM_BYTES
+    whole = words.span_hash(start, end)
+    stem = words.span_hash(start[long], start[long] + STEM_BYTES) ^ U(0x5DEECE66D)
+    return np.concatenate([doc, doc[long]]), np.concatenate([whole, stem])
+
+
+class Terms:
+    """The selected terms; a table of hash cells answers most look-ups."""
+
+    def __init__(self, hashes: list[int]):
+        self.sorted = np.sort(np.array(hashes, np.int64).astype(U))
+        self.cells = np.zeros(1 << 20, bool)
+        self.cells[(self.sorted >> U(44)).astype(np.int64)] = True
+
+    def counts(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, number of the term, times), by text, of the selected terms."""
+        doc, term = terms_of(words)
+        maybe = self.cells[(term >> U(44)).astype(np.int64)]
+        doc, term = doc[maybe], term[maybe]
+        if not len(term):
+            return (np.zeros(0, np.int64),) * 3
+        place = np.minimum(np.searchsorted(self.sorted, term), len(self.sorted) - 1)
+        real = self.sorted[place] == term
+        key, times = np.unique(doc[real] * len(self.sorted) + place[real], return_counts=True)
+        return key // len(self.sorted), key % len(self.sorted), times
 
 
 def sample_of(labelled: DataFrame, limit: int) -> DataFrame:
@@ -54,74 +92,76 @@ def sample_of(labelled: DataFrame, limit: int) -> DataFrame:
     return labelled.where(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 20)) < int((1 << 20) * limit / n))
 
 
-def select_terms(sample: DataFrame, limit: int = TERMS) -> list[str]:
-    """The terms whose presence depends most on the label. The driver gets ``limit`` terms."""
+def select_terms(sample: DataFrame, limit: int = TERMS) -> list[int]:
+    """The terms whose presence speaks most for label 1. The driver gets ``limit`` terms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        toxic: Counter = Counter()
         for batch in batches:
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                own = terms_of(text or "").keys()
-                seen.update(own)
-                if label:
-                    toxic.update(own)
-        names = list(seen)
-        for at in range(0, len(names), 50_000):
-            part = names[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([seen[t] for t in part], pa.int64()), pa.array([toxic[t] for t in part], pa.int64())], ["term", "n", "t"])
+            for rows, data, off in slices(batch):
+                doc, term = terms_of(Words(data, off))
+                order = np.lexsort((doc, term))
+                doc, term = doc[order], term[order]
+                fresh = np.ones(len(term), bool)
+                fresh[1:] = (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])
+                toxic = rows.column("label").to_numpy()[doc[fresh]]
+                found, at, n = np.unique(term[fresh], return_index=True, return_counts=True)
+                if len(found):
+                    yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(n), pa.array(np.add.reduceat(toxic.astype(np.int64), at))], ["term", "n", "t"])
 
     total, positive = sample.agg(F.count("*"), F.sum("label")).first()
     if not total or not positive or positive == total:
         return []
-    c = sample.select("text", "label").mapInArrow(count, "term string, n long, t long").groupBy("term").agg(F.sum("n").cast("double").alias("n"), F.sum("t").cast("double").alias("t"))
+    c = sample.select("text", "label").mapInArrow(count, "term long, n long, t long").groupBy("term").agg(F.sum("n").cast("double").alias("n"), F.sum("t").cast("double").alias("t"))
     n, t = F.col("n"), F.col("t")
     rest, p, m = F.lit(float(total)) - n, float(positive), float(total)
     chi = m * F.pow(t * (m - p - n + t) - (n - t) * (p - t), 2) / F.greatest(n * rest * p * (m - p), F.lit(1e-9))
-    chosen = c.where(n >= MIN_EXAMPLES).withColumn("chi", chi).where(F.col("chi") >= CHI_SQUARE)
+    chosen = c.where(n >= MIN_EXAMPLES).withColumn("chi", chi).where((F.col("chi") >= CHI_SQUARE) & (t / n > p / m))
     return [r["term"] for r in chosen.orderBy(F.desc("chi"), "term").limit(limit).collect()]
 
 
-def document_frequencies(docs: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
+def document_frequencies(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
     """(number of texts, texts with each selected term), over all texts."""
-    wanted = frozenset(terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        n = 0
+        seen, n = np.zeros(len(terms.sorted) + 1, np.int64), 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                n += 1
-                seen.update(wanted & terms_of(text or "").keys())
-        names = ["", *seen]  # the empty term counts texts
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([n, *(seen[t] for t in names[1:])], pa.int64())], ["term", "n"])
+            for rows, data, off in slices(batch):
+                n += rows.num_rows
+                seen += np.bincount(terms.counts(Words(data, off))[1], minlength=len(seen))
+        seen[-1] = n  # the last place counts texts
+        where = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(where), pa.array(seen[where])], ["term", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    found = {r["term"]: r["n"] for r in rows}  # TERMS + 1 rows at most
-    return found.pop("", 0), found
+    out = np.zeros(len(terms.sorted) + 1, np.int64)
+    for r in docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        out[r["term"]] = r["n"]  # TERMS + 1 rows at most
+    return int(out[-1]), out[:-1]
 
 
 class BlockMaxIndex:
     """Unit TF-IDF vectors of the examples, in blocks of ``BLOCK``, with the largest weight per term and block."""
 
-    def __init__(self, terms: list[str], idf: np.ndarray):
-        self.place = {t: i for i, t in enumerate(terms)}
+    def __init__(self, terms: Terms, idf: np.ndarray):
+        self.terms = terms
         self.idf = idf
         self.base = 0.0
         self.curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
-    def vector(self, terms: Counter) -> tuple[np.ndarray, np.ndarray]:
-        found = [(self.place[t], n) for t, n in terms.items() if t in self.place]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0)
-        where = np.array([i for i, _ in found])
-        weight = (1 + np.log([n for _, n in found])) * self.idf[where]
-        return where, weight / np.sqrt((weight**2).sum())
+    def vector(self, where: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The unit vector of a text from its selected terms and their counts."""
+        weight = (1 + np.log(times)) * self.idf[where]
+        return where, weight / np.sqrt(max((weight**2).sum(), 1e-30))
 
-    def build(self, ids: list, labels: list[int], terms: list[Counter]) -> None:
-        vectors = [self.vector(t) for t in terms]
+    def vectors(self, words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The vector of each text."""
+        doc, where, times = self.terms.counts(words)
+        at = np.searchsorted(doc, np.arange(len(words.bound))).tolist()
+        for a, b in zip(at[:-1], at[1:]):
+            yield self.vector(where[a:b], times[a:b])
+
+    def build(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
         full = [i for i, v in enumerate(vectors) if len(v[0])]
-        empty = [labels[i] for i in range(len(terms)) if not len(vectors[i][0])]
+        empty = [labels[i] for i in range(len(vectors)) if not len(vectors[i][0])]
         self.base = (sum(empty) + 0.5) / (len(empty) + 1.0) if empty else 0.5
         # examples with the same strongest terms stand together, so that few blocks have high maxima
         full.sort(key=lambda i: (tuple(vectors[i][0][np.argsort(-vectors[i][1], kind="stable")][:3].tolist()), str(ids[i])))
@@ -148,16 +188,19 @@ class BlockMaxIndex:
         bound = weight @ self.maxima[where]
         dense = np.zeros(len(self.idf))
         dense[where] = weight
-        best: list[tuple[float, int]] = []
+        cosines, places = np.zeros(0), np.zeros(0, np.int64)
         for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1][0] - 1e-6):
+            if bound[b] <= 0 or (len(cosines) == k and bound[b] < cosines[-1] - 1e-6):
                 break
             term, at, w = self.blocks[b]
-            cosine = np.bincount(at, dense[term] * w, BLOCK)
-            some = np.flatnonzero(cosine > 0)
-            best += [(float(cosine[i]), b * BLOCK + int(i)) for i in some if without is None or self.ids[b * BLOCK + int(i)] != without]
-            best = sorted(best, key=lambda x: (-round(x[0], 9), x[1]))[:k]
-        return best
+            found = np.bincount(at, dense[term] * w, BLOCK)
+            some = np.flatnonzero(found > 0)
+            if without is not None:
+                some = some[[self.ids[b * BLOCK + i] != without for i in some.tolist()]] if len(some) else some
+            cosines, places = np.concatenate([cosines, found[some].round(9)]), np.concatenate([places, b * BLOCK + some])
+            order = np.lexsort((places, -cosines))[:k]
+            cosines, places = cosines[order], places[order]
+        return list(zip(cosines.tolist(), places.tolist()))
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Share of toxic votes, each weighted by its closeness."""
@@ -183,8 +226,8 @@ class BlockMaxIndex:
         y = np.array([(p[0] + 0.05) / (p[1] + 0.1) for p in pools])
         self.curve = (x, np.maximum.accumulate(y))
 
-    def score(self, text: str, without=None) -> tuple[float, list[tuple[float, int]]]:
-        near = self.nearest(*self.vector(terms_of(text)), NEIGHBOURS, without)
+    def score(self, where: np.ndarray, weight: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
+        near = self.nearest(where, weight, NEIGHBOURS)
         if not near:
             return self.base, near
         return float(np.interp(self.vote(near), *self.curve)), near
@@ -197,24 +240,27 @@ def fit(docs: DataFrame, labelled: DataFrame, examples: int = EXAMPLES) -> Block
     """
     known = labelled.where(F.col("label").isNotNull()).select("id", F.coalesce("text", F.lit("")).alias("text"), (F.col("label") != 0).cast("int").alias("label"))
     sample = sample_of(known, examples)
-    terms = select_terms(sample)
+    terms = Terms(select_terms(sample))
     n, df = document_frequencies(docs, terms)
-    idf = np.array([np.log((n + 1) / (df.get(t, 0) + 1)) + 1e-3 for t in terms])
-    index = BlockMaxIndex(terms, idf)
-    wanted = frozenset(terms)
+    index = BlockMaxIndex(terms, np.log((n + 1) / (df + 1)) + 1e-3)
 
     def slim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Examples reach the driver as their selected terms only."""
         for batch in batches:
-            kept = [" ".join(t for t, c in terms_of(x).items() if t in wanted for _ in range(c)) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(kept, pa.string()), batch.column("label")], ["id", "text", "label"])
-
-    rows = sorted(sample.mapInArrow(slim, sample.schema).collect(), key=lambda r: (str(r["id"]), r["text"]))
-    keep = [Counter(r["text"].split(" ")) for r in rows]
+            for rows, data, off in slices(batch):
+                doc, where, times = terms.counts(Words(data, off))
+                at = np.searchsorted(doc, np.arange(rows.num_rows + 1)).tolist()
+                parts = [pa.array([x[a:b].tolist() for a, b in zip(at[:-1], at[1:])], pa.list_(pa.int64())) for x in (where, times)]
+                yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("label"), *parts], ["id", "label", "place", "times"])
+
+    kind = sample.schema["id"].dataType.simpleString()
+    rows = sample.mapInArrow(slim, f"id {kind}, label int, place array<long>, times array<long>").collect()
+    rows.sort(key=lambda r: (str(r["id"]), r["place"], r["times"], r["label"]))
+    keep = [index.vector(np.array(r["place"], np.int64), np.array(r["times"], np.int64)) for r in rows]
     index.build([r["id"] for r in rows], [r["label"] for r in rows], keep)
     votes, labels = [], []
     for r, t in zip(rows, keep):
-        near = index.nearest(*index.vector(t), NEIGHBOURS, r["id"])
+        near = index.nearest(*t, NEIGHBOURS, r["id"])
         if near:
             votes.append(index.vote(near))
             labels.append(r["label"])
@@ -232,12 +278,13 @@ def score(docs: DataFrame, index: BlockMaxIndex, id_col: str = "doc_id", text: s
         index = shared.value
         item = pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int64())]))
         for batch in batches:
-            scores, shown = [], []
-            for t in batch.column("text").to_pylist():
-                s, near = index.score(t or "")
-                scores.append(s)
-                shown.append([{"example": str(index.ids[i]), "cosine": c, "label": int(index.labels[i])} for c, i in near[:EVIDENCE]])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64()), pa.array(shown, item)], ["id", "score", "evidence"])
+            for rows, data, off in slices(batch):
+                scores, shown = [], []
+                for vector in index.vectors(Words(data, off)):
+                    s, near = index.score(*vector)
+                    scores.append(s)
+                    shown.append([{"example": str(index.ids[i]), "cosine": c, "label": int(index.labels[i])} for c, i in near[:EVIDENCE]])
+                yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array(scores, pa.float64()), pa.array(shown, item)], ["id", "score", "evidence"])
 
     out = wide.mapInArrow(run, f"id {id_type}, score double, evidence array<struct<example:string,cosine:double,label:long>>")
     return out.withColumnRenamed("id", id_col)
