@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talkloom.llm import decontaminate, ecoc_language, exact_dedup, jaccard_join, packing, ring_sharding, toxicity_knn, training_order, url_filter
+from talkloom.llm import context_mixing, decontaminate, ecoc_language, exact_dedup, jaccard_join, packing, ring_sharding, toxicity_knn, training_order, url_filter
+from talkloom.llm.work import Work
 
 
 TOKENIZER = "word_bpe_49k.json"
@@ -82,6 +83,15 @@ m AS (SELECT n, max(struct_pack(l := length(h || q), r := h || q, v := v)) AS be
 SELECT page_id, host, path, best.r AS rule, coalesce(best.v, 'allow') AS verdict FROM p LEFT JOIN m USING (n)"""
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Work(spark)
+    held_out = remainder(7) == 2
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = context_mixing.train(docs.where(~held_out), work)
+    scored = context_mixing.score(docs, model, work)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "bits_per_byte")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder(3) == 1
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
@@ -107,6 +117,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_url_filter": op6_url_filter,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_language_id": op8_language_id,
     "op9_training_order": op9_training_order,
     "op10_packing": op10_packing,
