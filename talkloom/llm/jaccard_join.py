@@ -8,7 +8,8 @@
    size, and each chunk is joined with itself by a signature tree. These
    links make components.
 4. Completion: prefix tokens are counted again, now between different components. Components
-   that cannot have a link to another are done. For the others, in an order of tokens
+   that cannot have a link to another are done; so are those that share less than three quarters of
+   their whole sets with others. For the rest, in an order of tokens
    that puts rare ones first, sets meet by prefix token, a signature tree per token rules out
    pairs, and what is left is compared exactly. So no link is lost, whatever step 3 missed.
 
@@ -305,9 +306,14 @@ def linked(sets: DataFrame, work: Work) -> DataFrame | None:
     bound = labelled.groupBy("label").agg(F.min(F.expr(least("n"))).alias("least"))
     open_ = work.keep(counts.join(bound, "label").where("shared >= least").select("label"), "open")
     rest = work.keep(labelled.join(small(open_, 8), "label", "left_semi"), "rest")
+    # whole sets now: three quarters of a set with a link are tokens of another component
+    counts = shared_counts(rest.select("label", "tokens"), buckets_for(size // 8))
+    bound = rest.groupBy("label").agg(F.min(F.expr("ceil(n * 0.75)")).alias("least"))
+    open_ = work.keep(counts.join(bound, "label").where("shared >= least").select("label"), "still_open")
+    rest = work.keep(rest.join(small(open_, 8), "label", "left_semi"), "rest")
     left = rest.agg(F.sum("n")).first()[0] or 0
     if not left:
         return roots
-    pairs = work.keep(pairs_between(rest, sketch_of(rest), buckets_for(left)), "pairs")
+    pairs = work.keep(pairs_between(rest, sketch_of(rest), buckets_for(4 * left)), "pairs")
     more = work.keep(compared(pairs, rest.select("fp", "tokens").dropDuplicates(["fp"])), "more")
     return roots if more.isEmpty() else connected(edges.unionByName(more), work)

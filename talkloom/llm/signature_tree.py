@@ -15,7 +15,7 @@ import numpy as np
 
 BITS = 2048
 FAN = 8
-PAIRS_AT_ONCE = 1 << 15
+PAIRS_AT_ONCE = 1 << 13
 
 
 def bitmaps(sets: list[np.ndarray], bits: int = BITS) -> np.ndarray:
