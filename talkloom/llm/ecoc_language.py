@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from talkloom.llm.textbytes import _LOWER, slices
 
@@ -154,7 +155,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", names: tup
                 more = [pa.array(found, pa.string()), pa.array(np.where(has, score, 0.0)), pa.array(ambiguous | ~has), pa.array(np.where(has, bits, 0))]
                 yield pa.RecordBatch.from_arrays(kept + more, names=[*columns, *names])
 
-    schema = docs.schema
+    schema = StructType(list(docs.schema.fields))
     for name, kind in zip(names, ("string", "double", "boolean", "long")):
         schema = schema.add(name, kind)
     return docs.withColumn(LETTER, letter).mapInArrow(decide, schema)

@@ -141,7 +141,7 @@ def write_shards(rows: DataFrame, folder: str, stride: int, slots: int) -> DataF
 
 
 def materialise(
-    docs: DataFrame, tokenizer: str, folder: str | None = None, key: int = 1, length: int = 2048, slots: int = 8192,
+    docs: DataFrame, tokenizer: str, folder: str | None = None, key: int = 1, length: int = 2048, slots: int = 2048,
     end_id: int = END_ID, dtype: str = "<u2", id_col: str = "doc_id", text: str = "text",
 ) -> tuple[DataFrame, DataFrame, str]:
     """(pieces, manifest, folder). Pieces: id, start, length, offset, ids_crc32, slot, shard: where every id of every
@@ -174,7 +174,7 @@ def materialise(
     return where.select(F.col("p.id").alias(id_col), "p.start", "p.length", "p.offset", "p.ids_crc32", "slot", "shard"), manifest, folder
 
 
-def read_slots(folder: str, first: int, end: int, length: int = 2048, slots: int = 8192, dtype: str = "<u2") -> Iterator[np.ndarray]:
+def read_slots(folder: str, first: int, end: int, length: int = 2048, slots: int = 2048, dtype: str = "<u2") -> Iterator[np.ndarray]:
     """The sequences of slots ``first`` to ``end``, read by position: how training reads and resumes."""
     from pyarrow import fs
 
