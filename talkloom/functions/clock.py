@@ -11,6 +11,7 @@ ISO_FORMAT = "%Y-%m-%dT%H:%M:%SZ"
 RUN_ID_FORMAT = "%Y%m%dT%H%M%SZ"
 # --- end of fixed values ---
 
+_FIRST_SECOND = -62135596800  # 0001-01-01T00:00:00Z
 _LAST_SECOND = 253402300799  # 9999-12-31T23:59:59Z
 
 
@@ -27,6 +28,6 @@ def epoch_to_iso(value: Column | str) -> Column:
     column = F.col(value) if isinstance(value, str) else value
     number = column.try_cast("double")
     seconds = F.floor(number)
-    usable = number.isNotNull() & ~F.isnan(number) & (F.abs(number) <= F.lit(float(_LAST_SECOND)))
+    usable = number.isNotNull() & ~F.isnan(number) & number.between(float(_FIRST_SECOND), float(_LAST_SECOND))
     stamp = F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return F.when(usable, stamp).otherwise(F.lit(""))

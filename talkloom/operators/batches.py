@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from talkloom.functions.cost import API_USAGE, ESTIMATED_USAGE, estimated_tokens, usage_fields
 from talkloom.functions.jsontext import is_object, json_array, json_list, json_object, json_string, parse_json
@@ -103,6 +103,12 @@ def _answer_for(row_id: Column, results: Column) -> Column:
     return F.try_element_at(mine, F.lit(-1))
 
 
+def one_response(parsed: DataFrame) -> DataFrame:
+    """One response a batch: a good answer before a failed one; equal ones in a fixed order."""
+    best = Window.partitionBy("batch_id").orderBy("failed", F.to_json("results"), "message")
+    return parsed.withColumn("_n", F.row_number().over(best)).filter("_n = 1").drop("_n")
+
+
 def join_responses(candidates: DataFrame, responses: DataFrame) -> DataFrame:
     """Candidates of answered batches with ``failed`` and their own ``answer``.
 
@@ -110,7 +116,7 @@ def join_responses(candidates: DataFrame, responses: DataFrame) -> DataFrame:
     recorded as seen. Results travel inside the one row of their batch, so there is
     one join on ``batch_id`` and no group larger than a batch.
     """
-    parsed = parse_responses(responses)
+    parsed = one_response(parse_responses(responses))
     joined = candidates.join(parsed, "batch_id")
     return joined.withColumn("answer", _answer_for(F.col("row_id"), F.col("results"))).drop("results")
 
@@ -122,15 +128,6 @@ def answered_label(answer: Column, failed: Column) -> Column:
     return F.when(~failed & label.isin(*LABELS), label).otherwise(default)
 
 
-def answered_reason(answer: Column, failed: Column) -> Column:
-    reason = F.coalesce(F.try_variant_get(answer, "$.reason", "string"), F.lit(""))
-    return (
-        F.when(failed, F.lit("GPT batch failed; fallback label applied."))
-        .when(answer.isNull(), F.lit("Missing batch result."))
-        .otherwise(reason)
-    )
-
-
 def answered_languages(
     answer: Column,
     failed: Column,

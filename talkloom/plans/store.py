@@ -51,10 +51,6 @@ def read_master(spark: SparkSession, store: Store, table: str, schema: T.StructT
     return read_table(spark, store.master(table), stage_schema(schema))
 
 
-def read_snapshot(spark: SparkSession, store: Store, stage: str, run_id: str, table: str, schema) -> DataFrame:
-    return read_table(spark, store.snapshot(stage, run_id, table), schema)
-
-
 def read_state(spark: SparkSession, store: Store, stage: str) -> DataFrame:
     return read_table(spark, store.state(stage), STATE)
 
@@ -168,13 +164,31 @@ def commit_stage(
         valid = written.filter(valid_filter)
         # Both valid-only tables exist even when nothing was valid.
         valid.write.mode("overwrite").parquet(store.snapshot(stage, run_id, valid_table))
-        valid.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(
-            store.master(valid_table)
-        )
+        write_valid(stamped, store, table, valid_table, run_id, valid_filter)
     append_table(state_rows(written, stage, run_ts, key), store.state(stage))
     return written
 
 
+def write_valid(
+    stamped: DataFrame, store: Store, table: str, valid_table: str, run_id: str, valid_filter: Column
+) -> None:
+    """Derive the valid-only rows of this run, and of runs that were lost before theirs were
+    written, from the master. A run's partition is replaced as a whole, so a replay neither
+    loses nor repeats rows.
+    """
+    spark = stamped.sparkSession
+    path = store.master(valid_table)
+    master = read_table(spark, store.master(table), stamped.schema)
+
+    def runs(rows: DataFrame) -> set[str]:
+        return {r["run_id"] for r in rows.select("run_id").distinct().collect()}  # partition values
+
+    lost = runs(master) - runs(read_table(spark, path, stamped.schema))
+    valid = master.filter(F.col("run_id").isin([run_id, *sorted(lost)])).filter(valid_filter)
+    writer = valid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_id").parquet(path)
+
+
 def quarantine(errors: DataFrame, store: Store) -> int:
     # Counted and written, hence evaluated once.
     return append_table(settle(conform(errors, QUARANTINE.fieldNames())), store.quarantine())

@@ -29,6 +29,8 @@ def settle(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         shared = context.getConf().get("spark.checkpoint.dir")
+        if not shared and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="talkloom-checkpoint-"))
     return df.checkpoint(eager=True)
 
