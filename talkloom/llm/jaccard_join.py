@@ -158,11 +158,29 @@ def shared_counts(sets: DataFrame, buckets: int) -> DataFrame:
             marked = np.logical_or.reduceat(label == 0, head)
         seen = np.repeat((size > 1) | marked, size) & (label != 0)
         found, times = np.unique(label[seen], return_counts=True)
-        return pa.table({"label": np.concatenate([found, all_of("done", np.int64)]), "shared": np.concatenate([times.astype(np.int64), all_of("times", np.int64)])})
+        label, shared = summed(np.concatenate([found, all_of("done", np.int64)]), np.concatenate([times.astype(np.int64), all_of("times", np.int64)]))
+        part = (mix(label.astype(U)) % U(buckets)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        part, label, shared = part[order], label[order], shared[order]
+        at = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)]).tolist()
+        cuts = list(zip(at, [*at[1:], len(part)]))
+        blobs = [pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (label, shared)]
+        return pa.table({"part": pa.array(part[at], pa.int32()), "label": blobs[0], "shared": blobs[1]})
+
+    def summed(label: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        distinct, inverse = np.unique(label, return_inverse=True)
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, inverse, n)
+        return distinct, total
+
+    def add(table: pa.Table) -> pa.Table:
+        label, shared = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("label", "shared"))
+        return pa.table(dict(zip(("label", "shared"), summed(label, shared))))
 
     packed = sets.select("label", "tokens").mapInArrow(deal, "bucket int, token binary, label binary, done binary, times binary")
-    counted = packed.groupBy("bucket").applyInArrow(count, "label long, shared long")
-    return counted.groupBy("label").agg(F.sum("shared").alias("shared"))
+    # the counts of a bucket go on packed too, by parts of the labels
+    counted = packed.groupBy("bucket").applyInArrow(count, "part int, label binary, shared binary")
+    return counted.groupBy("part").applyInArrow(add, "label long, shared long")
 
 
 def buckets_for(tokens: int) -> int:
