@@ -252,6 +252,7 @@ def pairs_between(sets: DataFrame, sketch: np.ndarray, buckets: int) -> DataFram
 
     def meet(table: pa.Table) -> pa.Table:
         token, fp, label, n = (table.column(c).to_numpy() for c in ("token", "fp", "label", "n"))
+        label = np.unique(label, return_inverse=True)[1]  # the tree takes negative numbers for mixed nodes
         maps = np.frombuffer(b"".join(table.column("bits").to_pylist()), U).reshape(len(token), -1)
         order = np.lexsort((n, token))
         head = np.flatnonzero(np.append(True, token[order][1:] != token[order][:-1])[: len(token)])
