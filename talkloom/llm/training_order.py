@@ -61,41 +61,46 @@ def sequences(docs: DataFrame, tokenizer: str, length: int, end_id: int, dtype:
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder(tokenizer)
         part, local = TaskContext.get().partitionId(), 0
-        held, filled, spans = [], 0, []
-        arrow = None
+        kept = np.zeros(0, dtype)  # the sequence begun, and its pieces
+        kept_ids, kept_parts = None, [np.zeros(0, np.int64)] * 4
 
-        def emit(full: list) -> pa.RecordBatch:
+        def emit(ids: np.ndarray, which: np.ndarray, names: pa.Array, parts: list[np.ndarray]) -> pa.RecordBatch:
+            """Whole sequences; ``which``: the sequence of each piece."""
             nonlocal local
-            rows = [{"part": part, "local": local + i, "ids": ids, "pieces": own} for i, (ids, own) in enumerate(full)]
-            local += len(full)
-            return pa.RecordBatch.from_pylist(rows, arrow)
+            n = len(ids) // length
+            ends = np.arange(n + 1, dtype=np.int32) * np.int32(length * ids.itemsize)
+            blobs = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(ids.tobytes())])
+            own = pa.StructArray.from_arrays([names, *map(pa.array, parts)], ["id", "start", "length", "offset", "ids_crc32"])
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(which, np.arange(n + 1)), pa.int32()), own)
+            numbers = pa.array(np.arange(local, local + n))
+            local += n
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), numbers, blobs, lists], ["part", "local", "ids", "pieces"])
 
         for batch in batches:
-            if arrow is None:
-                piece = pa.list_(pa.struct([("id", batch.schema.field("id").type), *((n, pa.int64()) for n in ("start", "length", "offset", "ids_crc32"))]))
-                arrow = pa.schema([("part", pa.int32()), ("local", pa.int64()), ("ids", pa.binary()), ("pieces", piece)])
             for rows, data, off in slices(batch):
                 ids, bound = encoder.encode(data, off)
-                names = rows.column("id").to_pylist()
-                full = []
-                for name, a, b in zip(names, bound[:-1].tolist(), bound[1:].tolist()):
-                    doc = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")
-                    at = 0
-                    while at < len(doc):
-                        take = min(length - filled, len(doc) - at)
-                        cut = doc[at : at + take]
-                        spans.append({"id": name, "start": at, "length": take, "offset": filled, "ids_crc32": zlib.crc32(cut.tobytes())})
-                        held.append(cut)
-                        filled += take
-                        at += take
-                        if filled == length:
-                            full.append((np.concatenate(held).astype(dtype).tobytes(), spans))
-                            held, filled, spans = [], 0, []
+                tokens = np.insert(ids, bound[1:], end_id).astype("<u4")
+                bound = bound + np.arange(len(bound))
+                filled, total = len(kept), len(tokens)
+                begin = np.union1d(bound[:-1], np.arange(length - filled, total, length))
+                end = np.append(begin[1:], total)
+                doc = np.searchsorted(bound, begin, "right") - 1
+                raw = memoryview(tokens.tobytes())
+                crc = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(begin.tolist(), end.tolist())]
+                parts = [begin - bound[doc], end - begin, (begin + filled) % length, np.array(crc, np.int64)]
+                which = np.concatenate([np.zeros(len(kept_parts[0]), np.int64), (begin + filled) // length])
+                parts = [np.concatenate(x) for x in zip(kept_parts, parts)]
+                names = rows.column("id").take(pa.array(doc))
+                names = names if kept_ids is None else pa.concat_arrays([kept_ids, names])
+                tokens = np.concatenate([kept, tokens.astype(dtype)])
+                full = len(tokens) // length
+                cut = int(np.searchsorted(which, full))
                 if full:
-                    yield emit(full)
-        if filled:
-            held.append(np.full(length - filled, PAD_ID))
-            yield emit([(np.concatenate(held).astype(dtype).tobytes(), spans)])
+                    yield emit(tokens[: full * length], which[:cut], names[:cut], [x[:cut] for x in parts])
+                kept, kept_ids, kept_parts = tokens[full * length :].copy(), names[cut:], [x[cut:] for x in parts]
+        if len(kept):
+            padded = np.append(kept, np.full(length - len(kept), PAD_ID, dtype))
+            yield emit(padded, np.zeros(len(kept_ids), np.int64), kept_ids, kept_parts)
 
     return wide.mapInArrow(stream, schema)
 
