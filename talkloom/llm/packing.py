@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from talkloom.llm.numbering import ranked
 from talkloom.llm.textbytes import slices
-from talkloom.llm.token_ids import ChunkEncoder
+from talkloom.llm.token_ids import encoder_of
 from talkloom.llm.work import Work
 
 STEP = 8
@@ -42,7 +42,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int = END_ID, i
     id_type = wide.schema["id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in batches:
             for rows, data, off in slices(batch):
                 ids, bound = encoder.encode(data, off)

@@ -78,3 +78,13 @@ class ChunkEncoder:
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.pool[np.arange(ends[-1]) + np.repeat(self.first[slots] - ends[:-1], sizes)]
         return ids, ends[words.bound]
+
+
+_encoders: dict[str, ChunkEncoder] = {}
+
+
+def encoder_of(path: str) -> ChunkEncoder:
+    """The encoder of this Python worker: later tasks of the worker find the vocabulary loaded and chunks known."""
+    if path not in _encoders:
+        _encoders[path] = ChunkEncoder(path)
+    return _encoders[path]

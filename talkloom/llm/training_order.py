@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from talkloom.llm.textbytes import mix, slices
-from talkloom.llm.token_ids import ChunkEncoder
+from talkloom.llm.token_ids import encoder_of
 from talkloom.llm.work import Work
 
 ROUNDS = 6
@@ -59,7 +59,7 @@ def sequences(docs: DataFrame, tokenizer: str, length: int, end_id: int, dtype:
     schema = f"part int, local long, ids binary, pieces {PIECES.format(id_type)}"
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         part, local = TaskContext.get().partitionId(), 0
         kept = np.zeros(0, dtype)  # the sequence begun, and its pieces
         kept_ids, kept_parts = None, [np.zeros(0, np.int64)] * 4
