@@ -2,21 +2,24 @@
 
 A run routes every new row, commits the rows that rules or provided labels decide, and
 leaves the rest as candidates plus a request table. Rows of a batch are committed once
-its response is there, in the same run when a ``labeller`` is passed or later by
+its response is there: by a run with a ``labeller``, which takes all that waits, or by
 ``collect_classification``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from talkloom.functions.keys import row_key
-from talkloom.operators.batches import build_requests, failed_rows, join_responses, response_usage
+from talkloom.operators.batches import (
+    CLASSIFICATION_ANSWER,
+    CLASSIFICATION_INSTRUCTIONS,
+    failed_rows,
+    join_responses,
+    response_usage,
+)
 from talkloom.operators.dedup import drop_repeats, first_rows, relevant_history, skip_seen
-from talkloom.operators.numbering import assign_batches
 from talkloom.operators.routing import decided_rows, label_candidates, route_rows
 from talkloom.operators.summaries import (
     counts,
@@ -28,6 +31,7 @@ from talkloom.operators.summaries import (
     union_metrics,
 )
 from talkloom.operators.terms import TermMatcher
+from talkloom.plans.labelling import Labeller, LabelQueue
 from talkloom.plans.store import (
     ORDER,
     Store,
@@ -40,7 +44,7 @@ from talkloom.plans.store import (
     unread_runs,
     write_summary,
 )
-from talkloom.schemas import CLASSIFICATION, REQUEST, ROW_ORD, STANDARDIZED, VALID_AI_HEALTHCARE
+from talkloom.schemas import CLASSIFICATION, ROW_ORD, STANDARDIZED, VALID_AI_HEALTHCARE
 from talkloom.session import prepare_session
 from talkloom.sources.tables import read_table, seen_keys
 
@@ -49,8 +53,6 @@ TABLE = "classification_all"
 VALID_TABLE = "classification_valid_only"
 BATCH_SIZE = 30
 
-Labeller = Callable[[DataFrame], DataFrame]
-
 _ROUTED = T.StructType(
     CLASSIFICATION.fields
     + [T.StructField(ROW_ORD, T.ArrayType(T.LongType())), T.StructField("record_key", T.StringType())]
@@ -96,10 +98,12 @@ def stage_input(
     return rows, unread, sizes
 
 
-def pending_keys(spark: SparkSession, store: Store) -> DataFrame:
-    """Keys that wait for a response, so a later run does not request them again."""
-    waiting = read_table(spark, f"{store.root}/requests/{STAGE}/candidates", _CANDIDATE)
-    return waiting.select("record_key")
+def label_queue(spark: SparkSession, store: Store) -> LabelQueue:
+    return LabelQueue(spark, store, STAGE, _CANDIDATE, CLASSIFICATION_INSTRUCTIONS, CLASSIFICATION_ANSWER)
+
+
+def committed_keys(spark: SparkSession, store: Store) -> DataFrame:
+    return seen_keys(read_master(spark, store, TABLE, CLASSIFICATION), read_state(spark, store, STAGE))
 
 
 def run_classification(
@@ -121,10 +125,9 @@ def run_classification(
     prepare_session(spark)
     master = read_master(spark, store, "standardized", STANDARDIZED)
     rows, unread, sizes = stage_input(spark, store, STAGE, master, source, limit, force)
-    seen = None
-    if not force:
-        seen = seen_keys(read_master(spark, store, TABLE, CLASSIFICATION), read_state(spark, store, STAGE))
-        seen = seen.unionByName(pending_keys(spark, store))
+    queue = label_queue(spark, store)
+    # Rows that wait for a response are not routed or requested anew.
+    seen = None if force else committed_keys(spark, store).unionByName(queue.candidates().select("record_key"))
     routed = route_rows(select_new(unread, seen), matcher, prefilter_only)
     work = store.snapshot(STAGE, run_id, "routed")
     # Texts are scanned for terms once; both branches read the written routes.
@@ -135,23 +138,15 @@ def run_classification(
     decided = decided_rows(routed, run_ts)
     outputs, usage, sent = decided, None, None
     if not prefilter_only:
-        prefix = f"{run_id}-"
-        batched = assign_batches(
-            routed.filter("route = 'batch'").withColumn("row_id", F.col("record_key")), "record_key", batch_size, prefix
-        )
-        waiting = f"{store.root}/requests/{STAGE}/candidates/run_id={run_id}"
-        batched.select(*_CANDIDATE.fieldNames()).write.mode("overwrite").parquet(waiting)
-        candidates = read_table(spark, waiting, _CANDIDATE)
-        requests_path = f"{store.root}/requests/{STAGE}/prompts/run_id={run_id}"
-        build_requests(candidates).write.mode("overwrite").parquet(requests_path)
-        sent = candidates
+        own = queue.put(routed.filter("route = 'batch'"), run_id, batch_size)
         if labeller is not None:
-            responses = labeller(read_table(spark, requests_path, REQUEST))
+            sent = own if force else queue.waiting(committed_keys(spark, store))
+            usage = response_usage(queue.ask(sent, labeller, run_id), model)
+            responses = queue.responses(sent)
             outputs = decided.select(*CLASSIFICATION.fieldNames(), ROW_ORD).unionByName(
-                label_candidates(candidates, responses, model, run_ts).select(*CLASSIFICATION.fieldNames(), ROW_ORD)
+                label_candidates(sent, responses, model, run_ts).select(*CLASSIFICATION.fieldNames(), ROW_ORD)
             )
-            quarantine(failed_rows(join_responses(candidates, responses), STAGE, run_ts), store)
-            usage = response_usage(responses, model)
+            quarantine(failed_rows(join_responses(sent, responses), STAGE, run_ts), store)
     written = _commit(outputs, store, run_id, run_ts)
     if sizes is not None:
         mark_consumed(sizes, store, STAGE)
@@ -160,7 +155,7 @@ def run_classification(
     if prefilter_only:
         summary = prefilter_summary(rows, routed)
     else:
-        summary = classification_summary(rows, routed, written, sent if labeller is not None else None)
+        summary = classification_summary(rows, routed, written, sent)
     return write_summary(summary, store, STAGE, run_id)
 
 
@@ -171,14 +166,19 @@ def collect_classification(
     run_ts: str,
     model: str,
     responses: DataFrame,
+    prices: DataFrame | None = None,
 ) -> DataFrame:
     """Commit the candidates, of any earlier run, whose batch now has a response."""
     prepare_session(spark)
-    candidates = read_table(spark, f"{store.root}/requests/{STAGE}/candidates", _CANDIDATE)
-    seen = seen_keys(read_master(spark, store, TABLE, CLASSIFICATION), read_state(spark, store, STAGE))
-    candidates = skip_seen(candidates, relevant_history(seen, candidates.select("record_key")))
-    quarantine(failed_rows(join_responses(candidates, responses), STAGE, run_ts), store)
-    return _commit(label_candidates(candidates, responses, model, run_ts), store, run_id, run_ts)
+    queue = label_queue(spark, store)
+    new = queue.keep(responses, run_id)
+    waiting = queue.waiting(committed_keys(spark, store))
+    answers = queue.responses(waiting)
+    quarantine(failed_rows(join_responses(waiting, answers), STAGE, run_ts), store)
+    written = _commit(label_candidates(waiting, answers, model, run_ts), store, run_id, run_ts)
+    if prices is not None:
+        write_summary(price_usage(sum_usage(response_usage(new, model)), prices), store, STAGE, run_id, "cost")
+    return written
 
 
 def read_routed(spark: SparkSession, store: Store, run_id: str) -> DataFrame:

@@ -13,17 +13,15 @@ from talkloom.operators.batches import (
     LANGUAGE_ANSWER,
     LANGUAGE_INSTRUCTIONS,
     answered_languages,
-    build_requests,
     failed_rows,
     join_responses,
     response_usage,
 )
-from talkloom.operators.dedup import relevant_history, skip_seen
 from talkloom.operators.langid import LanguageSettings, decide, early_reason, goes_to_batch
-from talkloom.operators.numbering import assign_batches
 from talkloom.operators.routing import provided_label
 from talkloom.operators.summaries import counts, distributions, platform_count, price_usage, sum_usage, union_metrics
-from talkloom.plans.classification import VALID_TABLE, Labeller, select_new, skipped_rows, stage_input
+from talkloom.plans.classification import VALID_TABLE, select_new, skipped_rows, stage_input
+from talkloom.plans.labelling import Labeller, LabelQueue
 from talkloom.plans.store import (
     Store,
     commit_stage,
@@ -38,9 +36,7 @@ from talkloom.schemas import (
     GPT_ERROR_FALLBACK,
     LANGUAGE,
     LANGUAGE_COLUMNS,
-
     PROVIDED_LABEL,
-    REQUEST,
     ROW_ORD,
 )
 from talkloom.session import prepare_session, settle
@@ -138,6 +134,14 @@ def answer_candidates(
     return language_output(answered, run_ts)
 
 
+def label_queue(spark: SparkSession, store: Store) -> LabelQueue:
+    return LabelQueue(spark, store, STAGE, _CANDIDATE, LANGUAGE_INSTRUCTIONS, LANGUAGE_ANSWER)
+
+
+def committed_keys(spark: SparkSession, store: Store) -> DataFrame:
+    return seen_keys(read_master(spark, store, TABLE, LANGUAGE), read_state(spark, store, STAGE))
+
+
 def run_language(
     spark: SparkSession,
     store: Store,
@@ -156,42 +160,31 @@ def run_language(
     """Detect the languages of valid rows; returns the summary rows.
 
     Without ``scorer`` every undecided row counts as unscored and goes to the labeller.
-    Without ``labeller`` batch rows wait for ``collect_language``.
+    Without ``labeller`` batch rows wait for a run that has one or for ``collect_language``.
     """
     prepare_session(spark)
     settings = settings or LanguageSettings()
     master = read_master(spark, store, VALID_TABLE, CLASSIFICATION)
     rows, unread, sizes = stage_input(spark, store, STAGE, master, source, limit, force)
-    requests_root = f"{store.root}/requests/{STAGE}"
-    seen = None
-    if not force:
-        seen = seen_keys(read_master(spark, store, TABLE, LANGUAGE), read_state(spark, store, STAGE))
-        seen = seen.unionByName(read_table(spark, f"{requests_root}/candidates", _CANDIDATE).select("record_key"))
+    queue = label_queue(spark, store)
+    seen = None if force else committed_keys(spark, store).unionByName(queue.candidates().select("record_key"))
     # Three branches read the selection: provided labels, the scorer and the ladder.
     routed = route_languages(settle(select_new(unread, seen)), scorer, settings)
     work = store.snapshot(STAGE, run_id, "routed")
     routed.select(*_ROUTED.fieldNames()).write.mode("overwrite").partitionBy("route").parquet(work)
     routed = read_table(spark, work, _ROUTED)
-    batched = assign_batches(
-        routed.filter("route = 'batch'").withColumn("row_id", F.col("record_key")), "record_key", batch_size, f"{run_id}-"
-    )
-    waiting = f"{requests_root}/candidates/run_id={run_id}"
-    batched.select(*_CANDIDATE.fieldNames()).write.mode("overwrite").parquet(waiting)
-    candidates = read_table(spark, waiting, _CANDIDATE)
-    requests_path = f"{requests_root}/prompts/run_id={run_id}"
-    build_requests(candidates, LANGUAGE_INSTRUCTIONS, LANGUAGE_ANSWER).write.mode("overwrite").parquet(requests_path)
+    own = queue.put(routed.filter("route = 'batch'"), run_id, batch_size)
     columns = [*LANGUAGE_COLUMNS, ROW_ORD]
     outputs = language_output(routed.filter("route <> 'batch'"), run_ts).select(*columns)
     sent = None
     if labeller is not None:
-        responses = labeller(read_table(spark, requests_path, REQUEST))
-        outputs = outputs.unionByName(
-            answer_candidates(candidates, responses, model, run_ts, settings).select(*columns)
-        )
-        quarantine(failed_rows(join_responses(candidates, responses), STAGE, run_ts), store)
-        sent = candidates
+        sent = own if force else queue.waiting(committed_keys(spark, store))
+        usage = response_usage(queue.ask(sent, labeller, run_id), model)
+        responses = queue.responses(sent)
+        outputs = outputs.unionByName(answer_candidates(sent, responses, model, run_ts, settings).select(*columns))
+        quarantine(failed_rows(join_responses(sent, responses), STAGE, run_ts), store)
         if prices is not None:
-            write_summary(price_usage(sum_usage(response_usage(responses, model)), prices), store, STAGE, run_id, "cost")
+            write_summary(price_usage(sum_usage(usage), prices), store, STAGE, run_id, "cost")
     written = commit_stage(outputs, store, STAGE, TABLE, LANGUAGE, run_id, run_ts)
     if sizes is not None:
         mark_consumed(sizes, store, STAGE)
@@ -206,15 +199,20 @@ def collect_language(
     model: str,
     responses: DataFrame,
     settings: LanguageSettings | None = None,
+    prices: DataFrame | None = None,
 ) -> DataFrame:
     """Commit the candidates, of any earlier run, whose batch now has a response."""
     prepare_session(spark)
-    candidates = read_table(spark, f"{store.root}/requests/{STAGE}/candidates", _CANDIDATE)
-    seen = seen_keys(read_master(spark, store, TABLE, LANGUAGE), read_state(spark, store, STAGE))
-    candidates = skip_seen(candidates, relevant_history(seen, candidates.select("record_key")))
-    quarantine(failed_rows(join_responses(candidates, responses), STAGE, run_ts), store)
-    answered = answer_candidates(candidates, responses, model, run_ts, settings or LanguageSettings())
-    return commit_stage(answered, store, STAGE, TABLE, LANGUAGE, run_id, run_ts)
+    queue = label_queue(spark, store)
+    new = queue.keep(responses, run_id)
+    waiting = queue.waiting(committed_keys(spark, store))
+    answers = queue.responses(waiting)
+    quarantine(failed_rows(join_responses(waiting, answers), STAGE, run_ts), store)
+    answered = answer_candidates(waiting, answers, model, run_ts, settings or LanguageSettings())
+    written = commit_stage(answered, store, STAGE, TABLE, LANGUAGE, run_id, run_ts)
+    if prices is not None:
+        write_summary(price_usage(sum_usage(response_usage(new, model)), prices), store, STAGE, run_id, "cost")
+    return written
 
 
 def language_summary(
