@@ -279,7 +279,8 @@ class Mixer:
             p = 1 / (1 + np.exp(-dot))
             cell = at * APM_CELLS + ((np.clip(dot, -8, 8) + 8) * np.float32((APM_CELLS - 1) / 16) + np.float32(0.5)).astype(np.int64)
             final = np.clip(0.65 * p + 0.35 * hits[cell] / seen[cell], 1e-6, 1 - 1e-6)
-            out += np.bincount(at // GATES, np.log10(np.where(y > 0, final, 1 - final)), docs)
+            # numpy vectorises the natural logarithm of float32, not the decimal one
+            out += np.bincount(at // GATES, np.log(np.abs(1 - y - final)), docs) / np.log(10)
             # from here on: what later steps may know
             error = (y - p) * np.float32(RATE)
             for c in range(3):
