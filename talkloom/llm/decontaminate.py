@@ -1,15 +1,17 @@
-"""Benchmark passages in documents: CGK embedding, bit-sampling LSH, exact edit distance.
+"""Benchmark passages in documents: CGK embedding, bit-sampling LSH, exact completion, exact edit distance.
 
 Texts are sequences of word hashes. The CGK embedding walks over a sequence with shared
 random bits: step j copies the current word and moves on if the bit of (j, word) says so.
 Two sequences of small edit distance then differ in few places (a number bounded by
 its square, independent of the length), so a few sampled places agree with good probability: they are the LSH key, and several
-walks with several samples each reach the recall aimed at.
+walks with several samples each find most passages. What they miss, more of it the nearer to the limit
+of edits and the longer the item, is completed exactly: an edit breaks two of an item's pairs of neighbouring words at
+most, so of any 2 * edits + 1 of its pairs, the rarest here, one stands in every passage within the limit.
 
 Items are put into size classes; windows of a class have its size, start at every word,
 and are embedded like the first words of an item. A window that shares fewer neighbouring word
 pairs with the items than any item within the distance must share is skipped unembedded: that
-loses nothing. Key hits are verified by the exact edit distance of the whole item to the best
+loses nothing. Hits of keys and of pairs are verified by the exact edit distance of the whole item to the best
 stretch around the window, in words.
 
 The item index is broadcast in blocks of ``BLOCK_ITEMS`` items, a fixed size, each block against all documents.
@@ -124,6 +126,16 @@ class Index:
         own_rare = [int(self.rare[np.searchsorted(every, x)].sum()) for x in self.own_pairs]
         self.poorest = {size: min(int(self.rare[np.searchsorted(every, run_hash(self.items[i][:size], 2))].sum()) if own_rare[i] else 0 for i in members) for size, members in by_class.items()}
         self.single = np.unique(np.concatenate([x for x in self.items if len(x)])) if any(map(len, self.items)) else np.zeros(0, U)
+        # the pairs of each item one of which every passage within the limit holds; an item of one word has none and one key
+        self.lengths = np.array([len(x) for x in self.items], np.int64)
+        self.allowed = (EDITS * self.lengths).astype(np.int64)
+        with_pairs = [k for k, x in enumerate(self.own_pairs) if len(x)]
+        rarest = [np.lexsort((self.own_pairs[k], items_with[np.searchsorted(every, self.own_pairs[k])]))[: 2 * self.allowed[k] + 1] for k in with_pairs]
+        flat = np.concatenate([np.zeros(0, U), *(self.own_pairs[k][r] for k, r in zip(with_pairs, rarest))])
+        order = np.argsort(flat, kind="stable")
+        self.sure = flat[order]
+        self.sure_item = np.repeat(np.array(with_pairs, np.int64), [len(r) for r in rarest])[order]
+        self.sure_place = np.concatenate([np.zeros(0, np.int64), *rarest])[order]
         # a small table of hash cells answers most look-ups of pairs
         self.cells = np.zeros(1 << 20, bool)
         self.cells[(self.pairs >> U(44)).astype(np.int64)] = True
@@ -141,6 +153,29 @@ class Index:
         out[last] = rare[last] = False
         return out, rare
 
+    def complete(self, words: Words, doc: np.ndarray, total: np.ndarray, found: set[tuple[int, int, int]]) -> None:
+        """Adds (text, item, word place) of every passage within the limit of edits; ``total`` counts pairs of items before a word."""
+        pair = run_hash(words.hash, 2)
+        at = np.flatnonzero(np.diff(total[: len(pair) + 1]))
+        lo = np.searchsorted(self.sure, pair[at], "left")
+        n = np.searchsorted(self.sure, pair[at], "right") - lo
+        at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
+        part = np.cumsum(n) // WINDOWS_AT_ONCE
+        for own in np.split(np.arange(len(n)), np.flatnonzero(np.diff(part)) + 1):
+            if not len(own):
+                continue
+            before = np.cumsum(n[own]) - n[own]
+            k = np.arange(int(n[own].sum())) - np.repeat(before - lo[own], n[own])
+            item = self.sure_item[k]
+            text = np.repeat(doc[at[own]], n[own])
+            start = np.repeat(at[own], n[own]) - self.sure_place[k]
+            length, allowed = self.lengths[item], self.allowed[item]
+            # the passage lies in [a, b), and its unbroken pairs with it
+            a = np.maximum(words.bound[text], start - allowed)
+            b = np.minimum(words.bound[text + 1], start + length + allowed)
+            fit = total[b - 1] - total[a] >= length - 1 - 2 * allowed
+            found.update(zip(text[fit].tolist(), item[fit].tolist(), start[fit].tolist()))
+
     def candidates(self, words: Words) -> set[tuple[int, int, int]]:
         """(text, item, word place) of key hits."""
         found: set[tuple[int, int, int]] = set()
@@ -149,6 +184,7 @@ class Index:
             return found
         doc = words.doc()
         total, rare = (np.concatenate([[0], np.cumsum(h)]) for h in self.hits(words))
+        self.complete(words, doc, total, found)
         padded = np.concatenate([words.hash, np.zeros(max(self.classes, default=0), U)])
         for size, (known, who) in self.classes.items():
             edits = int(EDITS * self.longest[size])

@@ -152,6 +152,46 @@ def test_decontamination_recall():
     assert all(t == i for t, i in found)
 
 
+def nearest_stretch(item, words):
+    """Least word edits from ``item`` to any stretch of ``words``, by the plain recurrence."""
+    row = [0] * (len(words) + 1)
+    for i, w in enumerate(item):
+        new = [i + 1]
+        for j, v in enumerate(words):
+            new.append(min(row[j] + (w != v), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+@pytest.mark.parametrize("kind", ["substitute", "insert", "delete", "mixed"])
+def test_decontamination_finds_all_at_the_limit_of_edits(kind):
+    rng = random.Random(kind)
+    lengths = [1, 2, 3, 4, 5, 7, 8, 12, 20, 31, 40, 60, 61, 120] * 3
+    items = [prose(3000 + k, n, 5000) for k, n in enumerate(lengths)]
+    index = decontaminate.Index(list(range(len(items))), items)
+    texts = []
+    for item in items:
+        words = item.split()
+        spots = rng.sample(range(len(words)), int(decontaminate.EDITS * len(words)))
+        for at in sorted(spots, reverse=True):
+            how = rng.choice(["substitute", "insert", "delete"]) if kind == "mixed" else kind
+            words[at : at + (how != "insert")] = [] if how == "delete" else ["edited"]
+        texts.append(prose(rng.random(), 40, 5000) + " " + " ".join(words) + " " + prose(rng.random(), 40, 5000))
+    data, off = text_buffer(pa.array(texts))
+    got = {(t, i): edits for t, i, _, _, edits in index.matches(Words(data, off))}
+    want = {}
+    for t, text in enumerate(texts):
+        words = text.split()
+        for i, item in enumerate(items):
+            allowed = int(decontaminate.EDITS * lengths[i])
+            if len(set(item.split()) & set(words)) + allowed >= len(set(item.split())):  # each edit takes one word at most
+                edits = nearest_stretch(item.split(), words)
+                if edits <= allowed:
+                    want[t, i] = edits
+    assert got == want
+    assert all((k, k) in got for k in range(len(items)))
+
+
 def test_ring_sharding(spark):
     rows = [(k // 2 if k % 3 else None, "x") for k in range(503)]
     got = ring_sharding.shard_rows(frame(spark, rows), 24).collect()
