@@ -5,18 +5,20 @@ code made from the counts of the training texts; any other word by an escape and
 each. Every bit is predicted by three contexts:
 
 * in a word code: the place in the code alone; with the word before; with the state of the text, which
-  is the commonest of the ``STATES`` most frequent words in its earlier steps;
+  is the commonest of the ``STATES`` most frequent words so far;
 * in a spelled word: the bits of this byte so far after the last two, three and five bytes.
 
 All contexts but the first are hashed into tables of counts gathered over the corpus. The
 predictions are added up in the logistic domain under weights chosen by a gate (kind of bit and
 depth in its code); weights follow the errors of the text as it goes, and an adaptive
-probability map refines the outcome. State moves on every ``STEP_WORDS`` words, so a
-prediction rests on earlier steps of its own text and on the corpus alone, and all texts of a
-slice advance together in numpy.
+probability map refines the outcome. All of it moves on with every word, so a
+prediction rests on earlier words of its own text and on the corpus alone, and all texts of a
+slice, which are of like length, advance together in numpy. Weights and map of the first word are
+learned online over all training texts, each slice predicted from the counts of the others.
 
 What is learned from the corpus: the counts of all words (a table that stays distributed; the
-most frequent ``FREQUENT`` are broadcast) and the bit counts of the contexts, tables of fixed size.
+most frequent ``FREQUENT`` are broadcast), the bit counts of the contexts, tables of fixed size, and
+the weights and the probability map every text starts from.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from talkloom.llm.textbytes import _LOWER, Words, mix, slices
@@ -38,7 +41,6 @@ STATES = 32
 BEFORE = 63
 #: Hashed cells per table: spelling after two bytes, and the two richer contexts.
 NEAR_BITS, RICH_BITS = 18, 20
-STEP_WORDS = 64
 SLICE = 1 << 20
 #: Bits of a word code that are mixed; deeper ones, rarely seen, are predicted by their place in the code alone.
 MIXED_DEPTH = 64
@@ -48,6 +50,8 @@ GATES = 2 * DEPTHS
 APM_CELLS = 24
 APM_TRUST = 24.0
 RATE = 0.003
+#: Bits of training texts that move the common weights at once, and by how much.
+LEARN_BITS, LEARN_RATE = 1 << 12, 0.05
 PIECE = 1 << 12
 U = np.uint64
 W = np.uint32
@@ -132,7 +136,7 @@ class Events:
         # tokens: the words of each text, then its end
         token_symbol = np.insert(symbol, words.bound[1:], code.end)
         self.doc, inside = spread(np.zeros(docs, np.int64), np.diff(words.bound) + 1)
-        self.step = inside // STEP_WORDS
+        self.step = inside
         before = np.minimum(np.concatenate([[BEFORE], token_symbol[:-1]]), BEFORE)
         before[inside == 0] = BEFORE
         state = self.states(token_symbol, inside)
@@ -168,15 +172,15 @@ class Events:
         ]
 
     def states(self, token_symbol: np.ndarray, inside: np.ndarray) -> np.ndarray:
-        """Per token: 1 + the commonest frequent word in earlier steps of its text, 0 at first."""
-        head = np.flatnonzero(inside % STEP_WORDS == 0)  # where a step of a text begins
-        group = np.cumsum(inside % STEP_WORDS == 0) - 1
-        common = token_symbol < STATES
-        counts = np.bincount(group[common] * STATES + token_symbol[common], minlength=len(head) * STATES).reshape(-1, STATES)
-        total = np.cumsum(counts, 0) - counts
-        first = np.flatnonzero(inside[head] == 0)
-        total -= np.repeat(total[first], np.diff(np.append(first, len(head))), 0)
-        return np.where(total.any(1), total.argmax(1) + 1, 0)[group]
+        """Per token: 1 + the commonest frequent word before it in its text, 0 at first."""
+        counts = np.zeros((len(token_symbol), STATES), np.int32)
+        common = np.flatnonzero(token_symbol < STATES)
+        counts[common, token_symbol[common]] = 1
+        total = np.cumsum(counts, 0, dtype=np.int32)
+        total -= counts
+        first = np.flatnonzero(inside == 0)
+        total -= np.repeat(total[first], np.diff(np.append(first, len(inside))), 0)
+        return np.where(total.any(1), total.argmax(1) + 1, 0)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -215,7 +219,7 @@ def context_sizes(code: Code) -> list[int]:
 
 
 def context_counts(texts: DataFrame, code) -> list[np.ndarray]:
-    """Per context (cells, 2): zeros and ones seen, over all training texts. Tasks send tables of fixed size."""
+    """Per context 2 * cells: zeros and ones seen, over all training texts. Tasks send tables of fixed size."""
     ends = np.cumsum([0, *(2 * n for n in context_sizes(code.value))])
     whole = -(-int(ends[-1]) // PIECE) * PIECE
 
@@ -236,23 +240,86 @@ def context_counts(texts: DataFrame, code) -> list[np.ndarray]:
         total = np.zeros(PIECE, np.int64)
         for blob in table.column("counts").to_pylist():
             total += np.frombuffer(blob, np.uint32)
-        odds = np.log((total[1::2] + 0.4) / (total[::2] + 0.4)).astype(np.float32)
-        return pa.table({"part": table.column("part").slice(0, 1), "odds": pa.array([odds.tobytes()], pa.binary())})
+        return pa.table({"part": table.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
-    out = np.zeros(whole // 2, np.float32)
-    summed = texts.mapInArrow(count, "part int, counts binary").groupBy("part").applyInArrow(add, "part int, odds binary")
-    for r in summed.collect():  # log odds of all cells: a table of fixed size
-        out[r["part"] * PIECE // 2 : (r["part"] + 1) * PIECE // 2] = np.frombuffer(r["odds"], np.float32)
-    return [out[a // 2 : b // 2] for a, b in zip(ends[:-1], ends[1:])]
+    out = np.zeros(whole, np.int64)
+    summed = texts.mapInArrow(count, "part int, counts binary").groupBy("part").applyInArrow(add, "part int, counts binary")
+    for r in summed.collect():  # counts of all cells: a table of fixed size
+        out[r["part"] * PIECE : (r["part"] + 1) * PIECE] = np.frombuffer(r["counts"], np.int64)
+    return [out[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return np.log((ones + 0.4) / (zeros + 0.4)).astype(np.float32)
+
+
+def map_cell(gate: np.ndarray, dot: np.ndarray) -> np.ndarray:
+    """The cell of the probability map."""
+    return gate * APM_CELLS + ((np.clip(dot, -8, 8) + 8) * np.float32((APM_CELLS - 1) / 16) + np.float32(0.5)).astype(np.int64)
+
+
+#: What learning begins with, and what stays where no training text has a bit of a gate.
+FIRST_WEIGHTS = np.array([[0.3, 0.45, 0.25]] * DEPTHS + [[0.2, 0.35, 0.5]] * DEPTHS, np.float32)
+FIRST_MAP = np.tile(1 / (1 + np.exp(-np.linspace(-8, 8, APM_CELLS))), GATES).astype(np.float32)
+
+
+def learn_start(texts: DataFrame, code, counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(weights of each gate, share of ones of each map cell), learned online over all training texts.
+
+    The counts of a slice are taken out before its bits are predicted. Tasks go over their own texts;
+    their weights are averaged by the bits they saw, their maps are added up.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = FIRST_WEIGHTS.astype(np.float64)
+        squares = np.full(weights.shape, 1e-3)
+        bits = np.zeros(GATES)
+        hits, seen = np.zeros(GATES * APM_CELLS), np.zeros(GATES * APM_CELLS)
+        for batch in batches:
+            for _, data, off in slices(batch, size=SLICE):
+                events = Events(Words(data, off), code.value)
+                odds = np.empty((len(events.bit), 3), np.float32)
+                for c in range(3):
+                    table, cell = shared.value[c], events.cells[c].astype(np.int64)
+                    own = np.bincount(2 * cell + events.bit, minlength=len(table))
+                    odds[:, c] = log_odds(table[2 * cell] - own[2 * cell], table[2 * cell + 1] - own[2 * cell + 1])
+                np.clip(odds, -9, 9, out=odds)
+                gate = events.gate.astype(np.int64)
+                order = np.argsort(events.token, kind="stable")
+                for at in range(0, len(order), LEARN_BITS):
+                    part = order[at : at + LEARN_BITS]
+                    x, g, y = odds[part], gate[part], events.bit[part]
+                    dot = np.clip((weights[g] * x).sum(1), -12, 12)
+                    error = y - 1 / (1 + np.exp(-dot))
+                    cell = map_cell(g, dot)
+                    hits += np.bincount(cell, y, len(hits))
+                    seen += np.bincount(cell, minlength=len(seen))
+                    slope = np.stack([np.bincount(g, error * x[:, c], GATES) for c in range(3)], 1)
+                    squares += slope**2
+                    weights += LEARN_RATE * slope / np.sqrt(squares)
+                bits += np.bincount(gate, minlength=GATES)
+        if bits.any():
+            sums = np.concatenate([(weights * bits[:, None]).ravel(), bits, hits, seen])
+            yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+    found = texts.mapInArrow(learn, "sums array<double>")
+    total = np.zeros(GATES * (4 + 2 * APM_CELLS))
+    for r in found.select(F.posexplode("sums").alias("place", "x")).groupBy("place").agg(F.sum("x").alias("x")).collect():  # the same few rows at any size
+        total[r["place"]] = r["x"]
+    weights, bits, hits, seen = np.split(total, np.cumsum([3 * GATES, GATES, GATES * APM_CELLS]))
+    weights = np.where(bits[:, None] > 0, weights.reshape(GATES, 3) / np.maximum(bits[:, None], 1), FIRST_WEIGHTS)
+    share = (hits + APM_TRUST * FIRST_MAP) / (seen + APM_TRUST)
+    return weights.astype(np.float32), share.astype(np.float32)
 
 
 class Mixer:
     """The predictors that come from the corpus, and the scoring of a slice of texts."""
 
-    def __init__(self, code: Code, odds: list[np.ndarray]):
+    def __init__(self, code: Code, odds: list[np.ndarray], start: tuple[np.ndarray, np.ndarray] = (FIRST_WEIGHTS, FIRST_MAP)):
         self.code, self.odds = code, [np.clip(x, -9, 9) for x in odds]
         self.odds[0][: code.inner] = np.clip(code.odds, -12, 12)
-        self.start = np.array([[0.3, 0.45, 0.25]] * DEPTHS + [[0.2, 0.35, 0.5]] * DEPTHS, np.float32)
+        self.start, self.map = start
 
     def score(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """(log10 probability of each text, symbol of each word)."""
@@ -263,30 +330,26 @@ class Mixer:
         cuts = np.searchsorted(step[order], np.arange(int(step.max()) + 2)).tolist() if len(step) else [0, 0]
         state = (events.doc[events.token] * GATES + events.gate)[order]
         bit = events.bit[order].astype(np.float32)
-        odds = [table[cell[order]] for table, cell in zip(self.odds, events.cells)]
-        weights = [np.tile(self.start[:, c], docs) for c in range(3)]
-        edge = 1 / (1 + np.exp(-np.linspace(-8, 8, APM_CELLS)))
-        hits = np.tile((edge * APM_TRUST).astype(np.float32), docs * GATES)
+        odds = np.stack([table[cell[order]] for table, cell in zip(self.odds, events.cells)], 1)
+        weights = np.tile(self.start, (docs, 1))
+        hits = np.tile(self.map * np.float32(APM_TRUST), docs)
         seen = np.full(docs * GATES * APM_CELLS, APM_TRUST, np.float32)
-        out = np.bincount(words.doc(), self.code.tail[events.symbol], docs) + self.code.tail[self.code.end]
+        final = np.empty(len(bit), np.float32)
         for lo, hi in zip(cuts[:-1], cuts[1:]):
-            at, y = state[lo:hi], bit[lo:hi]
-            inputs = [x[lo:hi] for x in odds]
-            dot = weights[0][at] * inputs[0]
-            dot += weights[1][at] * inputs[1]
-            dot += weights[2][at] * inputs[2]
+            at, y, x = state[lo:hi], bit[lo:hi], odds[lo:hi]
+            dot = np.einsum("ij,ij->i", weights[at], x)
             np.clip(dot, -12, 12, out=dot)
             p = 1 / (1 + np.exp(-dot))
-            cell = at * APM_CELLS + ((np.clip(dot, -8, 8) + 8) * np.float32((APM_CELLS - 1) / 16) + np.float32(0.5)).astype(np.int64)
-            final = np.clip(0.65 * p + 0.35 * hits[cell] / seen[cell], 1e-6, 1 - 1e-6)
-            # numpy vectorises the natural logarithm of float32, not the decimal one
-            out += np.bincount(at // GATES, np.log(np.abs(1 - y - final)), docs) / np.log(10)
-            # from here on: what later steps may know
-            error = (y - p) * np.float32(RATE)
-            for c in range(3):
-                np.add.at(weights[c], at, error * inputs[c])
+            cell = map_cell(at, dot)
+            final[lo:hi] = 0.65 * p + 0.35 * hits[cell] / seen[cell]
+            # from here on: what later words may know
+            np.add.at(weights, at, ((y - p) * np.float32(RATE))[:, None] * x)
             np.add.at(hits, cell, y)
             np.add.at(seen, cell, np.float32(1))
+        np.clip(final, 1e-6, 1 - 1e-6, out=final)
+        # numpy vectorises the natural logarithm of float32, not the decimal one
+        out = np.bincount(state // GATES, np.log(np.abs(1 - bit - final)), docs) / np.log(10)
+        out += np.bincount(words.doc(), self.code.tail[events.symbol], docs) + self.code.tail[self.code.end]
         return out, events.symbol
 
 
@@ -307,7 +370,9 @@ def train(texts: DataFrame, work: Work, text: str = "text") -> Trained:
     hashes = np.array([r["h"] for r in top], np.int64).astype(U)
     counts = np.array([r["n"] for r in top], np.int64)
     code = Code(hashes, counts, ends, words - int(counts.sum()))
-    mixer = Mixer(code, context_counts(texts, spark.sparkContext.broadcast(code)))
+    shared = spark.sparkContext.broadcast(code)
+    seen = context_counts(texts, shared)
+    mixer = Mixer(code, [log_odds(x[::2], x[1::2]) for x in seen], learn_start(texts, shared, seen))
     return Trained(vocabulary, mixer, words + ends, types + (ends > 0), ends)
 
 
@@ -327,6 +392,8 @@ def score(docs: DataFrame, model: Trained, work: Work, id_col: str = "doc_id", t
         code = mixer.code
         log = np.log10(np.append(code.counts, [0, 0]) + 1.0)
         for batch in batches:
+            # texts of like length share a slice, so that few of them end while others go on
+            batch = batch.take(pc.sort_indices(pc.fill_null(pc.binary_length(batch.column("text")), 0)))
             for rows, data, off in slices(batch, size=SLICE):
                 words = Words(data, off)
                 points, symbol = mixer.score(words)

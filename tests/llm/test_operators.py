@@ -322,6 +322,29 @@ def test_lm_scoring(spark):
     assert all(r.score < 0 for r in got)
 
 
+def test_lm_start_is_learned_and_short_texts_adapt(spark):
+    rng = random.Random(8)
+    chain = {w: [f"w{rng.randrange(60)}" for _ in range(2)] for w in (f"w{k}" for k in range(60))}
+
+    def text(n):
+        out = ["w0"]
+        while len(out) < n:
+            out.append(rng.choice(chain[out[-1]]))
+        return " ".join(out)
+
+    model = context_mixing.train(frame(spark, [(k, text(50)) for k in range(300)]), Work(spark))
+    mixer = model.mixer
+    assert not np.allclose(mixer.start, context_mixing.FIRST_WEIGHTS) and not np.allclose(mixer.map, context_mixing.FIRST_MAP)
+    data, off = text_buffer(pa.array([text(50) for _ in range(40)]))
+    words = Words(data, off)
+    by_hand = context_mixing.Mixer(mixer.code, mixer.odds)
+    assert mixer.score(words)[0].sum() > by_hand.score(words)[0].sum()
+    data, off = text_buffer(pa.array(["w1 w1 w1 w2"]))
+    events = context_mixing.Events(Words(data, off), mixer.code)
+    assert events.states(np.array([3, 3, 3, 40, mixer.code.end]), np.arange(5)).tolist() == [0, 4, 4, 4, 4]
+    assert events.step.tolist() == [0, 1, 2, 3, 4]
+
+
 def test_code_bits_are_a_proper_distribution():
     counts = np.array([50, 20, 9, 7, 4], np.int64)
     code = context_mixing.Code(np.arange(5, dtype=np.uint64), counts, 10, 3)
