@@ -286,6 +286,22 @@ def test_toxicity(spark):
     assert toxicity_knn.score(frame(spark, tests), nothing).count() == 5
 
 
+@pytest.mark.parametrize("toxic_of_six", [1, 2, 3, 4])
+def test_toxicity_at_any_share_of_toxic_labels(spark, toxic_of_six):
+    rng = random.Random(12)
+    rows = []
+    for k in range(600):
+        words = prose(k, 40, 3000).split()
+        if k % 6 < toxic_of_six:
+            words[rng.randrange(40)] = rng.choice(["Vile,", "awful!", "nasty"])
+        rows.append((k, " ".join(words), int(k % 6 < toxic_of_six)))
+    labelled = spark.createDataFrame(rows, "id long, text string, label int")
+    index = toxicity_knn.fit(labelled.select("text"), labelled)
+    tests = [(k, prose(9000 + k, 40) + (" nasty" if k % 2 else "")) for k in range(20)]
+    got = {r.doc_id: r.score for r in toxicity_knn.score(frame(spark, tests), index).collect()}
+    assert all((got[k] >= 0.7) == (k % 2 == 1) for k in got)
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(2)
     index = toxicity_knn.BlockMaxIndex(None, np.ones(50))
