@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talkloom.llm import context_mixing, decontaminate, ecoc_language, exact_dedup, jaccard_join, packing, ring_sharding, toxicity_knn, training_order, url_filter
+from talkloom.llm import context_mixing, decontaminate, ecoc_language, exact_dedup, filter_audit, jaccard_join, packing, ring_sharding, spelling_variants, toxicity_knn, training_order, url_filter
 from talkloom.llm.work import Work
 
 
@@ -110,6 +110,41 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir).select("doc_id", "text"), tokenizer())
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
+    return filter_audit.audit_text_filters(documents(spark, sf_dir).select("doc_id", "text", "lang"), labels)
+
+
+OP13_SQL = r"""WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+  CASE WHEN len(words) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END ||
+  CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END ||
+  CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS f
+  FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, f, count(*) AS docs, count_if(good) AS good, count_if(toxic) AS toxic FROM m GROUP BY part, f),
+o(filter_order) AS (SELECT '' UNION ALL SELECT filter_order || x FROM o, unnest(['A', 'B', 'C', 'D', 'E']) AS u(x) WHERE NOT contains(filter_order, x)),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS before
+  FROM o, range(1, 6) AS r(step) WHERE length(filter_order) = 5),
+r AS (SELECT part, filter_order, CAST(step AS INTEGER) AS step, any_value(x) AS x,
+  coalesce(sum(docs) FILTER (translate(f, before || x, '') = f), 0) AS kept,
+  coalesce(sum(docs) FILTER (contains(f, x) AND translate(f, before, '') = f), 0) AS removed,
+  coalesce(sum(docs) FILTER (contains(f, x) AND translate(f, before, '') <> f), 0) AS redundant,
+  coalesce(sum(docs) FILTER (f = x), 0) AS unique_fails,
+  coalesce(sum(good) FILTER (contains(f, x) AND translate(f, before, '') = f), 0) AS good_lost,
+  coalesce(sum(toxic) FILTER (contains(f, x) AND translate(f, before, '') = f), 0) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM r"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -121,5 +156,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_training_order": op9_training_order,
     "op10_packing": op10_packing,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op6_url_filter": OP6_SQL}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op6_url_filter": OP6_SQL, "op13_filter_audit": OP13_SQL}
