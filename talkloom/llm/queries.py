@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from talkloom.llm import context_mixing, decontaminate, ecoc_language, exact_dedup, filter_audit, jaccard_join, packing, ring_sharding, spelling_variants, toxicity_knn, training_order, url_filter
+from talkloom.llm import bbit_minhash, context_mixing, decontaminate, ecoc_language, exact_dedup, filter_audit, jaccard_join, packing, ring_sharding, spelling_variants, toxicity_knn, training_order, url_filter
 from talkloom.llm.work import Work
 
 
@@ -64,6 +64,23 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def similarity_sql(width: int, percent: int, columns: str) -> str:
+    """All pairs by their common shingles, then everything reachable; quadratic, for small tables."""
+    return rf"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {width} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {width - 2}), lambda i: array_to_string(w[i:i + {width - 1}], ' '))) END AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.t = b.t AND a.doc_id <> b.doc_id AND 100 * a.n >= {percent} * b.n AND 100 * b.n >= {percent} * a.n
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, p.b FROM r JOIN p ON r.other = p.a),
+c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, {columns} FROM s JOIN c USING (doc_id)"""
+
+
+OP5_SQL = similarity_sql(5, 75, "component_id")
+OP11_SQL = similarity_sql(4, 80, "component_id, doc_id = component_id AS kept")
+
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
@@ -110,6 +127,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir).select("doc_id", "text"), tokenizer())
 
 
+def op11_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.group_variants(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -156,7 +177,8 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_training_order": op9_training_order,
     "op10_packing": op10_packing,
+    "op11_near_dedup": op11_near_dedup,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_filter_audit": op13_filter_audit,
 }
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op6_url_filter": OP6_SQL, "op13_filter_audit": OP13_SQL}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op5_jaccard_join": OP5_SQL, "op6_url_filter": OP6_SQL, "op11_near_dedup": OP11_SQL, "op13_filter_audit": OP13_SQL}

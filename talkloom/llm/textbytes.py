@@ -131,11 +131,11 @@ def run_hash(hashes: np.ndarray, length: int) -> np.ndarray:
     return mix(total)
 
 
-def shingle_sets(words: Words) -> Iterator[np.ndarray]:
-    """The sorted distinct shingles of each text: five words, or the whole sequence of fewer."""
-    all5 = run_hash(words.hash, SHINGLE_WORDS)
+def shingle_sets(words: Words, width: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
+    """The sorted distinct shingles of each text: ``width`` (at most five) words, or the whole sequence of fewer."""
+    runs = run_hash(words.hash, width)
     for a, b in zip(words.bound[:-1].tolist(), words.bound[1:].tolist()):
-        if b - a >= SHINGLE_WORDS:
-            yield np.unique(all5[a : b - SHINGLE_WORDS + 1])
+        if b - a >= width:
+            yield np.unique(runs[a : b - width + 1])
         else:
             yield run_hash(words.hash[a:b], b - a) if b > a else np.zeros(0, U)
