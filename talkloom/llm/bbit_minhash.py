@@ -7,14 +7,14 @@
 3. Sets lie next to each other by the set they share most band keys with (the smallest of equals), cut into chunks of
    bounded size. In a chunk, pairs are estimated by the bit counts of their signatures, corrected for bits that agree
    by chance, and those not ruled out are compared on their whole sets. These links make components.
-4. Completion: within every band key that still holds several components, pairs of different components are estimated;
-   the most similar few of every two components are compared on their whole sets, links contract components, and
-   this goes on, with more at a time, until no pair is left that the estimate does not rule out. A key of many sets is
-   dealt as a grid of blocks.
+4. Completion: within every band key that still holds several components, pairs of different components are estimated. A
+   key with few pairs left sends them to be compared by a join; one with many gets the whole sets of its members instead
+   and compares on the spot. So what is sent grows with the sets, not with their pairs, and every pair that
+   the estimate does not rule out is tested. A key of many or large sets is dealt as a grid of blocks.
 
 A pair at the threshold of 0.8 shares no band key with probability (1 - 0.8^5)^32 = 3e-6, and its estimate
 falls below the cut, ``SIGMAS`` standard deviations under the threshold, with probability 3e-7.
-Pairs are never emitted inside a component, and the driver sees counts only.
+The driver sees counts only.
 """
 
 from __future__ import annotations
@@ -36,12 +36,15 @@ ROWS, BANDS, BITS = 5, 32, 2
 HASHES = ROWS * BANDS
 SIGMAS = 5
 #: Sets of a chunk: bytes of their tokens, and their number.
-CHUNK_BYTES, CHUNK_SETS = 4 << 20, 1 << 12
+CHUNK_BYTES, CHUNK_SETS = 2 << 20, 1 << 11
 #: Sets of a key that are compared in one piece; larger keys are dealt as a grid.
 BLOCK_SETS = 1 << 11
-#: Pairs of two components and a key tested in the first step of the completion, and how fast that grows.
-FIRST_PAIRS, GROWTH = 4, 16
+#: A key with more open pairs per set than this gets the sets themselves.
+PAIRS_PER_SET = 4
 PIECE_ROWS = 1 << 18
+PIECE_BYTES = 16 << 20
+#: Pairs compared at once, and columns of the bitmaps for that.
+PAIRS, COLUMNS = 1 << 12, 1 << 14
 U = np.uint64
 _NUMBERS = mix(np.arange(1, 2 * HASHES + 1, dtype=U))
 _SALT, _TIMES = _NUMBERS[:HASHES], _NUMBERS[HASHES:] | U(1)
@@ -132,32 +135,84 @@ def whole_sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(sets, "fp long, tokens binary")
 
 
-def link_run(fps: np.ndarray, own: list[np.ndarray], sig: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Links that join all similar sets of one run into components."""
-    found, edges = UnionFind(len(own)), []
+def open_ends(label: np.ndarray, n: np.ndarray, sig: np.ndarray, num: int, den: int, block: np.ndarray | None = None, now=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j), i < j, of different labels that sizes and estimates do not rule out, in batches of at most ``PAIRS``.
+
+    ``block``: only pairs from different blocks. ``now`` gives newer labels, asked for again every few rows.
+    """
     least = least_matches(num, den)
-    size = np.array([len(s) for s in own])
-
-    def test(i: int, j: int) -> None:
-        if found.root(i) != found.root(j) and similar(own[i], own[j], num, den):
-            found.join(i, j)
-            edges.append((int(fps[i]), int(fps[j])))
-
-    for i in range(1, len(own)):  # the head and the one before first: most of a group becomes one component at once
-        test(0, i)
-        test(i - 1, i)
-    for low in range(0, len(own), 256):
-        roots = found.roots()
-        if (roots == roots[0]).all():
-            break
-        a, b = np.arange(low, min(low + 256, len(own))), np.arange(low, len(own))
-        may = (roots[a][:, None] != roots[b]) & (a[:, None] < b) & (den * np.minimum(size[a][:, None], size[b]) >= num * np.maximum(size[a][:, None], size[b]))
+    for low in range(0, len(n), 64):
+        label = label if now is None else now()
+        a, b = np.arange(low, min(low + 64, len(n))), np.arange(low, len(n))
+        may = (label[a][:, None] != label[b]) & (a[:, None] < b) & (den * np.minimum(n[a][:, None], n[b]) >= num * np.maximum(n[a][:, None], n[b]))
+        if block is not None:
+            may &= block[a][:, None] != block[b]
         i, j = np.nonzero(may)
-        for at in range(0, len(i), 1 << 14):
-            x, y = a[i[at : at + (1 << 14)]], b[j[at : at + (1 << 14)]]
+        for at in range(0, len(i), PAIRS):
+            x, y = a[i[at : at + PAIRS]], b[j[at : at + PAIRS]]
             near = matches(sig[x], sig[y]) >= least
-            for p, q in zip(x[near].tolist(), y[near].tolist()):
-                test(p, q)
+            if near.any():
+                yield x[near], y[near]
+
+
+class Overlap:
+    """Exact sizes of the intersections of sets, by bitmaps over the tokens that two of them or more have."""
+
+    def __init__(self, own: list[np.ndarray]):
+        self.n = np.array([len(s) for s in own], np.int64)
+        owner = np.repeat(np.arange(len(own)), self.n)
+        _, place, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+        column = np.cumsum(times > 1) - 1
+        shared = times[place] > 1
+        owner, column = owner[shared], column[place[shared]]
+        self.slabs = []
+        for low in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+            inside = (column >= low) & (column < low + COLUMNS)
+            at = column[inside] - low
+            rows, where = np.unique(owner[inside], return_inverse=True)
+            maps = np.zeros((len(rows) + 1, COLUMNS // 64), U)  # the last row is empty
+            np.bitwise_or.at(maps, (where, at >> 6), U(1) << (at & 63).astype(U))
+            row = np.full(len(own), len(rows))
+            row[rows] = np.arange(len(rows))
+            self.slabs.append((row, maps))
+
+    def of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(x), np.int64)
+        for row, maps in self.slabs:
+            p, q = row[x], row[y]
+            some = np.flatnonzero((p < len(maps) - 1) & (q < len(maps) - 1))
+            total[some] += np.bitwise_count(maps[p[some]] & maps[q[some]]).sum(1, dtype=np.int64)
+        return total
+
+    def similar(self, x: np.ndarray, y: np.ndarray, num: int, den: int) -> np.ndarray:
+        both = self.of(x, y)
+        return den * both >= num * (self.n[x] + self.n[y] - both)
+
+
+def link_sets(fps: np.ndarray, own: list[np.ndarray], sig: np.ndarray, num: int, den: int, label: np.ndarray | None = None, block: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that join all similar sets (of different labels and blocks, where these are given) into components."""
+    found, edges = UnionFind(len(own)), []
+    overlap = Overlap(own)
+
+    def join(x: np.ndarray, y: np.ndarray) -> None:
+        for i, j in zip(x.tolist(), y.tolist()):
+            if found.root(i) != found.root(j):
+                found.join(i, j)
+                edges.append((int(fps[i]), int(fps[j])))
+
+    if label is not None:
+        first: dict[int, int] = {}
+        for i, name in enumerate(label.tolist()):
+            found.join(first.setdefault(name, i), i)
+    else:  # the head and the one before first: most of a group becomes one component at once
+        for low in range(1, len(own), PAIRS):
+            i = np.arange(low, min(low + PAIRS, len(own)))
+            for j in (np.zeros_like(i), i - 1):
+                alike = overlap.similar(j, i, num, den)
+                join(j[alike], i[alike])
+    for x, y in open_ends(found.roots(), overlap.n, sig, num, den, block, found.roots):
+        alike = overlap.similar(x, y, num, den)
+        join(x[alike], y[alike])
     return edges
 
 
@@ -171,7 +226,7 @@ def chunk_links(sets: DataFrame, chunks: int, num: int, den: int) -> DataFrame:
         def edges() -> pa.RecordBatch:
             fps = np.array([r[0] for r in run], np.int64)
             sig = np.frombuffer(b"".join(r[1] for r in run), U).reshape(len(run), -1)
-            ends = link_run(fps, [np.frombuffer(r[2], U) for r in run], sig, num, den)
+            ends = link_sets(fps, [np.frombuffer(r[2], U) for r in run], sig, num, den)
             return pa.RecordBatch.from_arrays([pa.array([e[i] for e in ends], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         for batch in batches:
@@ -192,75 +247,75 @@ def chunk_links(sets: DataFrame, chunks: int, num: int, den: int) -> DataFrame:
     return dealt.mapInArrow(link, "a long, b long")
 
 
-def best_pairs(fps: np.ndarray, label: np.ndarray, n: np.ndarray, sig: np.ndarray, block: np.ndarray, across: bool, most: int, num: int, den: int) -> tuple[list[tuple[int, int]], bool]:
-    """The most similar pairs, up to ``most`` of every two labels, that the estimate does not rule out; whether there were more.
-
-    ``across``: only pairs from different blocks.
-    """
-    least = least_matches(num, den)
-    found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-    more = False
-    for low in range(0, len(fps), 256):
-        a = np.arange(low, min(low + 256, len(fps)))
-        b = np.arange(low, len(fps))
-        may = (label[a][:, None] != label[b]) & (a[:, None] < b) & (den * np.minimum(n[a][:, None], n[b]) >= num * np.maximum(n[a][:, None], n[b]))
-        if across:
-            may &= block[a][:, None] != block[b]
-        i, j = np.nonzero(may)
-        for at in range(0, len(i), 1 << 14):
-            x, y = a[i[at : at + (1 << 14)]], b[j[at : at + (1 << 14)]]
-            agreed = matches(sig[x], sig[y])
-            near = agreed >= least
-            for m, p, q in zip(agreed[near].tolist(), x[near].tolist(), y[near].tolist()):
-                ends = (int(label[p]), int(label[q])) if label[p] < label[q] else (int(label[q]), int(label[p]))
-                kept = found.setdefault(ends, [])
-                kept.append((-m, min(int(fps[p]), int(fps[q])), max(int(fps[p]), int(fps[q]))))
-                if len(kept) >= 2 * most + 64:
-                    kept.sort()
-                    del kept[most:]
-                    more = True
-    pairs = []
-    for kept in found.values():
-        kept.sort()
-        more |= len(kept) > most
-        pairs += [(a, b) for _, a, b in kept[:most]]
-    return pairs, more
-
-
-def open_pairs(members: DataFrame, live: DataFrame, work: Work, most: int, num: int, den: int) -> DataFrame:
-    """(a, b, more): pairs of different labels within a band key; a row of nulls says that a key had more."""
-    rows = work.keep(members.select("key", "fp").join(live.select("fp", "label"), "fp"), "labelled")
-    keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("held")).where("low < high")
-    keys = work.keep(keys.select("key", F.expr(f"cast(ceil(held / {BLOCK_SETS}) as int)").alias("blocks")), "keys")
+def cells_of(members: DataFrame, live: DataFrame, work: Work) -> DataFrame:
+    """(key, i, j, block, fp, label, n, sig): the sets of band keys that hold several labels, large ones as a grid of blocks."""
+    rows = work.keep(members.select("key", "fp").join(live.select("fp", "label", "n"), "fp"), "labelled")
+    keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("held"), F.sum("n").alias("tokens")).where("low < high")
+    blocks = F.expr(f"cast(ceil(greatest(held / {BLOCK_SETS}, 8 * tokens / {CHUNK_BYTES})) as int)")
+    keys = work.keep(keys.select("key", blocks.alias("blocks")), "keys")
     rows = rows.select("key", "fp").join(keys, "key").join(live, "fp").withColumn("block", F.expr("cast(pmod(xxhash64(fp), blocks) as int)"))
     cells = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     cells = cells.select("key", F.expr("least(block, other)").alias("i"), F.expr("greatest(block, other)").alias("j"), "block", "fp", "label", "n", "sig")
-    cells = work.keep(cells, "cells")
-    pieces = max(1, -(-cells.count() // PIECE_ROWS), work.spark.sparkContext.defaultParallelism)
+    return work.keep(cells, "cells")
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        cell = None
 
-        def done() -> pa.RecordBatch:
-            fps, label, n, block = (np.array([r[k] for r in held], np.int64) for k in (0, 1, 2, 4))
-            sig = np.frombuffer(b"".join(r[3] for r in held), U).reshape(len(held), -1)
-            pairs, more = best_pairs(fps, label, n, sig, block, cell[1] != cell[2], most, num, den)
-            ends = [*pairs, (None, None)] if more else pairs
-            return pa.RecordBatch.from_arrays([pa.array([e[i] for e in ends], pa.int64()) for i in (0, 1)], ["a", "b"])
+CELL = ["key", "i", "j"]
+
 
+def by_cell(rows: DataFrame, pieces: int, columns: list[str], act, schema: str) -> DataFrame:
+    """``act(cell, columns as lists)`` for every cell of two sets or more; yields record batches. A set comes once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        cell = None
         for batch in batches:
-            for key, i, j, fp, label, n, sig, block in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "fp", "label", "n", "sig", "block"))):
+            for key, i, j, *row in zip(*(batch.column(c).to_pylist() for c in (*CELL, *columns))):
                 if (key, i, j) != cell:
                     if len(held) > 1:
-                        yield done()
+                        yield act(cell, list(zip(*held)))
                     held, cell = [], (key, i, j)
-                held.append((fp, label, n, sig, block))
+                if not held or held[-1][0] != row[0]:
+                    held.append(tuple(row))
         if len(held) > 1:
-            yield done()
+            yield act(cell, list(zip(*held)))
+
+    pieces = max(pieces, rows.sparkSession.sparkContext.defaultParallelism)
+    dealt = rows.select(*CELL, *columns).repartition(pieces, *CELL).sortWithinPartitions(*CELL, "fp")
+    return dealt.mapInArrow(run, schema)
+
+
+def estimated(cells: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b, key, i, j): pairs left open in cells of few, and the cells of many (a, b null)."""
+
+    def meet(cell: tuple, columns: list) -> pa.RecordBatch:
+        fps, label, n, block = (np.array(columns[k], np.int64) for k in (0, 1, 2, 4))
+        sig = np.frombuffer(b"".join(columns[3]), U).reshape(len(fps), -1)
+        ends: list[tuple[int, int]] = []
+        many = False
+        for x, y in open_ends(label, n, sig, num, den, block if cell[1] != cell[2] else None):
+            ends += zip(np.minimum(fps[x], fps[y]).tolist(), np.maximum(fps[x], fps[y]).tolist())
+            if len(ends) > PAIRS_PER_SET * len(fps):
+                many = True
+                break
+        rows = [(None, None, *cell)] if many else [(*e, None, None, None) for e in ends]
+        kinds = [pa.int64()] * 3 + [pa.int32()] * 2
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["a", "b", *CELL])
+
+    pieces = -(-cells.count() // PIECE_ROWS)
+    return by_cell(cells, pieces, ["fp", "label", "n", "sig", "block"], meet, "a long, b long, key long, i int, j int")
+
+
+def linked_on_the_spot(cells: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): links between the sets (fp, label, sig, block, tokens) of every cell."""
+
+    def link(cell: tuple, columns: list) -> pa.RecordBatch:
+        fps, label, block = (np.array(columns[k], np.int64) for k in (0, 1, 3))
+        sig = np.frombuffer(b"".join(columns[2]), U).reshape(len(fps), -1)
+        ends = link_sets(fps, [np.frombuffer(t, U) for t in columns[4]], sig, num, den, label, block if cell[1] != cell[2] else None)
+        return pa.RecordBatch.from_arrays([pa.array([e[k] for e in ends], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    dealt = cells.repartition(pieces, "key", "i", "j").sortWithinPartitions("key", "i", "j", "fp")
-    return dealt.mapInArrow(meet, "a long, b long").distinct()
+    size = cells.agg(F.sum(F.length("tokens"))).first()[0] or 0
+    return by_cell(cells, -(-size // PIECE_BYTES), ["fp", "label", "sig", "block", "tokens"], link, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -292,23 +347,16 @@ def linked(slim: DataFrame, sets: DataFrame, work: Work, num: int, den: int) ->
     chunks = max(work.spark.sparkContext.defaultParallelism, -(-size // (4 * CHUNK_BYTES)))
     edges = work.keep(chunk_links(whole, chunks, num, den), "links")
     roots = connected(edges, work)
-    live = live.select("fp", "n", "sig")
-    tested, most = None, FIRST_PAIRS
-    while True:
-        labelled = live.join(roots.withColumnRenamed("v", "fp"), "fp", "left").withColumn("label", F.coalesce("root", "fp")).drop("root")
-        found = work.keep(open_pairs(members, work.keep(labelled, "labels"), work, most, num, den), "pairs")
-        more = not found.where("a is null").isEmpty()
-        pairs = found.where("a is not null")
-        if tested is not None:
-            pairs = work.keep(pairs.join(tested, ["a", "b"], "left_anti"), "new")
-        links = work.keep(confirmed(pairs, whole.select("fp", "tokens"), num, den), "more")
-        if not links.isEmpty():
-            edges = edges.unionByName(links)
-            roots = connected(edges, work)
-        if not more:
-            return roots
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        most *= GROWTH
+    label = F.coalesce("root", "fp").alias("label")
+    labelled = work.keep(live.join(roots.withColumnRenamed("v", "fp"), "fp", "left").select("fp", "n", "sig", label), "labels")
+    cells = cells_of(members, labelled, work)
+    found = work.keep(estimated(cells, num, den), "found")
+    tokens = whole.select("fp", "tokens")
+    few = confirmed(found.where("a is not null").select("a", "b").distinct(), tokens, num, den)
+    crowded = small(found.where("a is null").select(*CELL), 16)
+    many = cells.join(crowded, CELL, "left_semi").join(tokens, "fp")
+    more = work.keep(few, "few").unionByName(work.keep(linked_on_the_spot(work.keep(many, "many"), num, den), "spot"))
+    return roots if more.isEmpty() else connected(edges.unionByName(more), work)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:

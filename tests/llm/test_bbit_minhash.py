@@ -84,15 +84,25 @@ def test_other_thresholds(spark):
     assert found(m.near_duplicates(frame(spark, rows), percent=90)) == brute(rows, 90)
 
 
-def test_completion_finds_what_chunks_miss(spark, monkeypatch):
-    """No links from chunks, two sets a block, one pair of two components at a time: the completion alone is exact."""
+@pytest.mark.parametrize("pairs_per_set", [0, 1 << 20])
+def test_completion_finds_what_chunks_miss(spark, monkeypatch, pairs_per_set):
+    """Without links from chunks and with two sets a block, the completion alone is exact: all on the spot, or all by join."""
     rows = families(3, 4, 12)
     monkeypatch.setattr(m, "BLOCK_SETS", 2)
-    monkeypatch.setattr(m, "FIRST_PAIRS", 1)
-    monkeypatch.setattr(m, "chunk_links", lambda sets, *_: sets.select("fp", "fp").toDF("a", "b").limit(0))
+    monkeypatch.setattr(m, "PAIRS_PER_SET", pairs_per_set)
+    monkeypatch.setattr(m, "COLUMNS", 64)
+    monkeypatch.setattr(m, "chunk_links", lambda sets, *_: sets.select(sets.fp.alias("a"), sets.fp.alias("b")).limit(0))
     assert found(m.near_duplicates(frame(spark, rows))) == brute(rows)
 
 
+def test_overlap_is_exact(monkeypatch):
+    monkeypatch.setattr(m, "COLUMNS", 128)
+    rng = np.random.default_rng(5)
+    own = [np.unique(rng.integers(0, 900, rng.integers(1, 500)).astype(np.uint64)) for _ in range(40)]
+    x, y = np.triu_indices(40)
+    assert m.Overlap(own).of(x, y).tolist() == [len(np.intersect1d(own[i], own[j])) if i != j else int(sum(sum(t in o for o in own) > 1 for t in own[i].tolist())) for i, j in zip(x, y)]
+
+
 def test_hot_groups(spark):
     rng = random.Random(4)
     base = [f"w{i}" for i in range(40)]
