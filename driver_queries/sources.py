@@ -8,6 +8,9 @@ from driver_queries.registry import RUN_TS, query, scratch, table, texts
 from talkloom.functions.jsontext import json_string
 from talkloom.functions.hashing import short_hash
 from talkloom.functions.text import clean_text
+from talkloom.plans.extraction import run_jobs
+from talkloom.plans.store import Store, read_master
+from talkloom.schemas import EXTRACTION
 from talkloom.session import settle
 from talkloom.sources.jobs import build_jobs
 from talkloom.sources.payloads import (
@@ -55,6 +58,68 @@ def jobs(spark, sf):
     )
 
 
+_LANDED_JOBS = """j AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 11 = 0 THEN 'targeted_id' ELSE 'keyword' END AS collection_method,
+      CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE 2 END AS kind, c_name AS keyword, c_custkey % 4 AS lim, c_nationkey < 20 AS with_comments,
+      CASE WHEN c_custkey % 7 <> 0 THEN c_custkey % 3 END AS comment_lim FROM customer),
+    a AS (SELECT o_custkey AS k, o_orderkey, o_orderstatus, o_orderkey AS pos FROM orders
+      UNION ALL SELECT o_custkey + 1, o_orderkey, o_orderstatus, o_orderkey FROM orders WHERE o_orderkey % 5 = 0),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY pos) AS place FROM a JOIN j USING (k)),
+    kept AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY kind, k, pos) AS landing FROM placed WHERE kind = 0 OR place <= lim),
+    l AS (SELECT l_orderkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS r FROM lineitem)"""
+
+
+@query(
+    "q_job_limits",
+    f"""WITH {_LANDED_JOBS}
+    SELECT CAST(o_orderkey AS VARCHAR) AS id, collection_method, CASE kind WHEN 2 THEN keyword ELSE '' END AS query, o_orderstatus AS text,
+      coalesce((SELECT string_agg(l_linenumber || l_returnflag, ',' ORDER BY r) FROM l
+        WHERE l_orderkey = o_orderkey AND with_comments AND (comment_lim IS NULL OR r <= comment_lim)), '') AS comments
+    FROM kept WHERE landing = 1""",
+)
+def job_limits(spark, sf):
+    """Orders as what their customers' jobs brought, some under two jobs; line items as their comments."""
+    customers = table(spark, sf, "customer")
+    key, listed = F.col("c_custkey"), F.col("c_custkey") % 11 == 0
+    jobs = customers.select(
+        F.lit("reddit").alias("platform"),
+        F.when(listed, "targeted_id").otherwise("keyword").alias("collection_method"),
+        F.when(listed, F.array(key.cast("string"))).alias("ids"),
+        F.lit(None).cast("string").alias("subreddit"),
+        F.col("c_name").alias("keyword"),
+        (key % 4).cast("int").alias("limit"),
+        (F.col("c_nationkey") < 20).alias("include_comments"),
+        F.when(key % 7 != 0, key % 3).cast("int").alias("comment_limit"),
+        F.lit(0).cast("bigint").alias("part"),
+        F.array(F.when(listed, 0).otherwise(2).cast("bigint"), key).alias("job_ord"),
+    )
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    orders = orders.unionByName(orders.filter("o_orderkey % 5 = 0").withColumn("o_custkey", F.col("o_custkey") + 1))
+    kind = F.when(F.col("o_custkey") % 11 == 0, "0").otherwise("2")
+    answers = land(
+        orders.select(
+            F.concat_ws(".", F.concat(F.lit("reddit:"), kind), F.col("o_custkey").cast("string")).alias("job_id"),
+            F.col("o_orderkey").alias("pos"),
+            F.col("o_orderkey").cast("string").alias("id"),
+            F.col("o_orderstatus").alias("selftext"),
+        ),
+        spark,
+        f"job_id string, pos bigint, {REDDIT_POST}",
+    )
+    comment = F.struct(F.col("l_linenumber").cast("string").alias("id"), F.col("l_returnflag").alias("body"))
+    items = table(spark, sf, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", comment.alias("c")).alias("e"))
+    threads = items.groupBy(F.col("l_orderkey").cast("string").alias("source_id")).agg(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["c"]).alias("comments"))
+    store = Store(scratch(spark))
+    run_jobs(spark, store, "run", RUN_TS, jobs, {"reddit": answers}, {"reddit": land(threads, spark, REDDIT_COMMENTS)})
+    read = F.from_json("comments_json", "array<struct<id:string,text:string>>")
+    return read_master(spark, store, "extraction_raw", EXTRACTION).select(
+        "id",
+        "collection_method",
+        F.coalesce(F.get_json_object("metadata_json", "$.query"), F.lit("")).alias("query"),
+        "text",
+        F.array_join(F.transform(read, lambda c: F.concat(c["id"], c["text"])), ",").alias("comments"),
+    )
+
+
 # ---- uploads ---------------------------------------------------------------
 
 

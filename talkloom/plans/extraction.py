@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from talkloom.functions.keys import extraction_key
@@ -11,6 +13,7 @@ from talkloom.operators.summaries import counts, difference, distributions, plat
 from talkloom.plans.store import Store, commit_stage, quarantine, read_master, read_state, write_summary
 from talkloom.schemas import EXTRACTION, EXTRACTION_COLUMNS, QUARANTINE_COLUMNS, ROW_ORD
 from talkloom.session import prepare_session, settle
+from talkloom.sources.landing import fetched_comments, job_failures, job_rows
 from talkloom.sources.tables import conform, extraction_seen
 from talkloom.sources.uploads import list_files, read_records, upload_counts, upload_items, upload_rows, with_upload_order
 
@@ -80,12 +83,15 @@ def run_extraction(
     run_id: str,
     run_ts: str,
     landed: DataFrame,
-    comments: DataFrame | None = None,
+    comments: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
     job_errors: DataFrame | None = None,
     jobs: DataFrame | None = None,
     force: bool = False,
 ) -> DataFrame:
-    """Commit landed rows (extraction columns and ``row_ord``); returns the summary rows."""
+    """Commit landed rows (extraction columns and ``row_ord``); returns the summary rows.
+
+    ``comments`` are lists fetched beforehand, or a function that gives them for the rows found new.
+    """
     prepare_session(spark)
     rows = settle(first_landings(landed))  # landed payloads are parsed once
     seen = None
@@ -93,6 +99,9 @@ def run_extraction(
         seen = extraction_seen(read_master(spark, store, TABLE, EXTRACTION), read_state(spark, store, STAGE))
         seen = relevant_history(seen, rows.select("record_key"))
     rows = skip_seen(rows, seen)
+    if callable(comments):
+        rows = settle(rows)  # the fetch and the commit read the same choice
+        comments = settle(comments(rows))
     if comments is not None:
         rows = attach_comments(rows, comments)
     written = commit_stage(
@@ -107,6 +116,29 @@ def run_extraction(
     return write_summary(extraction_summary(landed, written, jobs, errors), store, STAGE, run_id)
 
 
+def run_jobs(
+    spark: SparkSession,
+    store: Store,
+    run_id: str,
+    run_ts: str,
+    jobs: DataFrame,
+    answers: Mapping[str, DataFrame],
+    threads: Mapping[str, DataFrame] | None = None,
+    errors: DataFrame | None = None,
+    registry=None,
+    force: bool = False,
+) -> DataFrame:
+    """Extraction driven by the job table: landed answers per platform, cut to the limits of their jobs.
+
+    Comment lists are made for new rows alone, and only where the job that brought a row first asks
+    for them. ``errors(job_id, error_type, message)`` names jobs that failed as a whole.
+    """
+    landed = job_rows(jobs, answers, run_ts, registry)
+    comments = None if threads is None else lambda rows: fetched_comments(rows, threads, registry)
+    failed = None if errors is None else job_failures(jobs, errors, STAGE, run_ts)
+    return run_extraction(spark, store, run_id, run_ts, landed, comments, failed, jobs, force)
+
+
 def extraction_summary(
     landed: DataFrame, new_rows: DataFrame, jobs: DataFrame | None = None, errors: DataFrame | None = None
 ) -> DataFrame:

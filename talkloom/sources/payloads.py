@@ -63,8 +63,8 @@ def _extraction_rows(df: DataFrame, run_ts: str, **values: Column) -> DataFrame:
         "extracted_at_utc": F.lit(run_ts),
     }
     filled = {**fixed, **values}
-    order = [c for c in ("job_ord", "pos") if c in df.columns]
-    return df.select(*[blank_if_null(filled[c]).alias(c) for c in EXTRACTION_COLUMNS], *order)
+    job = [c for c in ("job_ord", "pos", "include_comments", "comment_limit") if c in df.columns]
+    return df.select(*[blank_if_null(filled[c]).alias(c) for c in EXTRACTION_COLUMNS], *job)
 
 
 def reddit_posts(df: DataFrame, run_ts: str) -> DataFrame:
@@ -185,19 +185,26 @@ def _comment_json(id_, text, author, created, url, replies: Column | None) -> Co
     return json_object(fields if replies is None else [*fields, ("replies", replies)])
 
 
-def _prefix(items: Column, limit: int | None) -> Column:
-    return items if limit is None else F.slice(items, 1, limit)
+def _prefix(items: Column, limit: Column | int | None) -> Column:
+    """The first ``limit`` items; a column of limits has one for each row, null for no limit."""
+    if limit is None:
+        return items
+    if isinstance(limit, Column):
+        return F.when(limit.isNull(), items).otherwise(F.slice(items, F.lit(1), F.greatest(limit, F.lit(0))))
+    return F.slice(items, 1, limit)
 
 
 def _comments(df: DataFrame, platform: str, members: Column) -> DataFrame:
+    told = [c for c in ("status", "error_type", "message") if c in df.columns]
     return df.select(
         F.lit(platform).alias("platform"),
         "source_id",
         F.coalesce(json_array(members), F.lit("[]")).alias("comments_json"),
+        *told,
     )
 
 
-def reddit_comments(df: DataFrame, limit: int | None = 500) -> DataFrame:
+def reddit_comments(df: DataFrame, limit: Column | int | None = 500) -> DataFrame:
     return _comments(
         df,
         "reddit",
@@ -215,7 +222,7 @@ def reddit_comments(df: DataFrame, limit: int | None = 500) -> DataFrame:
     )
 
 
-def youtube_comments(df: DataFrame, limit: int | None = 500) -> DataFrame:
+def youtube_comments(df: DataFrame, limit: Column | int | None = 500) -> DataFrame:
     def one(comment: Column, replies: Column | None) -> Column:
         s = comment["snippet"]
         return _comment_json(
@@ -229,7 +236,7 @@ def youtube_comments(df: DataFrame, limit: int | None = 500) -> DataFrame:
     return _comments(df, "youtube", F.transform(_prefix(F.col("items"), limit), thread))
 
 
-def twitter_comments(df: DataFrame, limit: int | None = 500) -> DataFrame:
+def twitter_comments(df: DataFrame, limit: Column | int | None = 500) -> DataFrame:
     """The first ``limit`` tweets of a conversation without its root: cut first, then drop."""
     others = F.filter(_prefix(F.col("data"), limit), lambda t: ~t["id"].eqNullSafe(F.col("source_id")))
     return _comments(
@@ -279,6 +286,6 @@ def _per_platform(frames: Mapping[str, DataFrame], registry, place: int, argumen
     return rows
 
 
-def first_results(rows: DataFrame, limit: int = 100) -> DataFrame:
-    """The first ``limit`` results of every job, by their place in the answer (``pos``)."""
-    return rows.filter(F.col("pos") < limit)
+def first_results(rows: DataFrame, limit: Column | int = 100, place: str = "pos") -> DataFrame:
+    """The results whose place in the answer of their job is below ``limit``, one number or a column."""
+    return rows.filter(F.col(place) < limit)
