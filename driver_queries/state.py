@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driver_queries.registry import RUN_TS, query, scratch, std, table, with_std
+from driver_queries.classify import MODEL, PREFILTER
+from driver_queries.registry import FLAGGED, LEXICON_A, LEXICON_B, ROUTED, RUN_TS, query, scratch, std, table, with_std
 from talkloom.functions.keys import row_key
 from talkloom.operators.dedup import first_wins, skip_seen
+from talkloom.operators.routing import decided_rows, route_rows
+from talkloom.operators.terms import TermMatcher
+from talkloom.plans.classification import SINK, collect_classification, label_queue, run_classification, select_new
 from talkloom.plans.extraction import conform_extraction, run_extraction
 from talkloom.plans.preprocessing import run_preprocessing
-from talkloom.plans.store import Store, append_table, commit_stage, export_csv, read_master, read_state, write_table
-from talkloom.schemas import EXTRACTION, STANDARDIZED, text_schema
+from talkloom.plans.store import Store, append_table, commit_stage, export_csv, read_master, read_state, stage_schema, write_snapshot, write_table
+from talkloom.schemas import CLASSIFICATION, EXTRACTION, REQUEST, STANDARDIZED, text_schema
 from talkloom.sources.tables import read_table, read_values, seen_keys
-from talkloom.streaming.runner import read_landing, stream_preprocessing
+from talkloom.streaming.runner import read_landing, stream_classification, stream_preprocessing
 
 _STATE_COLUMNS = "stage, record_key, platform, id, associated_id, processed_at_utc"
 
@@ -51,6 +55,75 @@ def streamed(spark, sf):
     return read_master(spark, store, "standardized", STANDARDIZED).select("id", "platform", "category", "text", "collection_method")
 
 
+@query(
+    "q_stream_classify",
+    with_std("SELECT id, available_terms, model_used, model_classification FROM output", FLAGGED, ROUTED, PREFILTER),
+)
+def stream_classified(spark, sf):
+    """Standardized rows as files of a stream, the second landing holding the first one again."""
+    folder = scratch(spark)
+    store = Store(f"{folder}/store")
+    rows = std(spark, sf)
+    for part in (rows.filter("quality >= 0"), rows):
+        part.select(*STANDARDIZED.fieldNames(), "row_ord", "run_id").write.mode("append").parquet(f"{folder}/landing")
+    landing = read_landing(spark, f"{folder}/landing", schema=stage_schema(STANDARDIZED), files_per_batch=8)
+    matcher = TermMatcher.build(LEXICON_A, LEXICON_B)
+    stream_classification(spark, store, "stream", RUN_TS, matcher, MODEL, landing, f"{folder}/checkpoint", prefilter_only=True).awaitTermination()
+    return read_master(spark, store, "classification_all", CLASSIFICATION).select("id", "available_terms", "model_used", "model_classification")
+
+
+def says(label):
+    """A labeller that gives every row of a request one label."""
+
+    def answer(requests):
+        rows = F.from_json(F.substring_index("prompt", "Rows:\n", -1), "array<struct<row_id:string>>")
+        results = F.transform(rows, lambda r: F.struct(r["row_id"].alias("row_id"), F.lit(label).alias("model_classification")))
+        return requests.select("batch_id", F.lit("ok").alias("status"), F.to_json(F.struct(results.alias("results"))).alias("body"))
+
+    return answer
+
+
+@query(
+    "q_force_pending",
+    with_std(
+        "SELECT id, label AS model_classification FROM routed, (VALUES ('unsure'), ('invalid_confusing_or_insufficient')) v(label) WHERE route = 'batch'",
+        FLAGGED,
+        ROUTED,
+    ),
+)
+def force_pending(spark, sf):
+    """All rows labelled, then asked for again by a forced run without a labeller, whose answers come later."""
+    store = Store(scratch(spark))
+    rows, matcher = std(spark, sf), TermMatcher.build(LEXICON_A, LEXICON_B)
+    run_classification(spark, store, "one", RUN_TS, matcher, MODEL, rows, labeller=says("unsure"))
+    run_classification(spark, store, "two", RUN_TS, matcher, MODEL, rows, force=True)
+    waiting = read_table(spark, label_queue(spark, store).path("prompts", "two"), REQUEST)
+    answers = says("invalid_confusing_or_insufficient")(waiting)
+    for run in ("three", "four"):  # the second time, nothing waits any more
+        collect_classification(spark, store, run, RUN_TS, MODEL, answers)
+    return read_master(spark, store, "classification_all", CLASSIFICATION).filter(F.col("model_used") == MODEL).select("id", "model_classification")
+
+
+@query(
+    "q_replay_valid_only",
+    with_std(
+        "SELECT o.id, o.platform, o.model_classification, CASE WHEN s.quality >= 0 THEN 'lost' ELSE 'next' END AS run_id "
+        "FROM output o JOIN std s USING (id) WHERE o.model_classification = 'valid_ai_healthcare'",
+        FLAGGED,
+        ROUTED,
+        PREFILTER,
+    ),
+)
+def replayed(spark, sf):
+    """A run whose driver is lost after the snapshot; the next one carries it to its end and adds the rest."""
+    store = Store(scratch(spark))
+    rows, matcher = std(spark, sf), TermMatcher.build(LEXICON_A, LEXICON_B)
+    early = decided_rows(route_rows(select_new(rows.filter("quality >= 0"), None), matcher, True), RUN_TS)
+    write_snapshot(early, store, SINK, "lost", RUN_TS)
+    run_classification(spark, store, "next", RUN_TS, matcher, MODEL, rows, prefilter_only=True)
+    return read_master(spark, store, "classification_valid_only", CLASSIFICATION).select("id", "platform", "model_classification", "run_id")
+
+
 @query(
     "q_schema_migration",
     with_std("SELECT id, text, CASE WHEN quality >= 0 THEN '' ELSE provided_language_label || 'new' END AS label FROM std"),

@@ -8,7 +8,7 @@ its response is there: by a run with a ``labeller``, which takes all that waits,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from talkloom.functions.keys import row_key
@@ -34,13 +34,15 @@ from talkloom.operators.terms import TermMatcher
 from talkloom.plans.labelling import Labeller, LabelQueue
 from talkloom.plans.store import (
     ORDER,
+    Sink,
     Store,
-    commit_stage,
+    commit_rows,
     mark_consumed,
     ordered_source,
     quarantine,
     read_master,
     read_state,
+    recover,
     unread_runs,
     write_summary,
 )
@@ -53,6 +55,13 @@ TABLE = "classification_all"
 VALID_TABLE = "classification_valid_only"
 BATCH_SIZE = 30
 
+
+def is_valid() -> Column:
+    return F.col("model_classification") == VALID_AI_HEALTHCARE
+
+
+SINK = Sink(STAGE, TABLE, CLASSIFICATION, valid_table=VALID_TABLE, valid=is_valid)
+
 _ROUTED = T.StructType(
     CLASSIFICATION.fields
     + [T.StructField(ROW_ORD, T.ArrayType(T.LongType())), T.StructField("record_key", T.StringType())]
@@ -63,6 +72,7 @@ _CANDIDATE = T.StructType(
     + [T.StructField("available_terms", T.StringType()), T.StructField(ROW_ORD, T.ArrayType(T.LongType()))]
     + [T.StructField("record_key", T.StringType()), T.StructField("row_id", T.StringType())]
     + [T.StructField("batch_id", T.StringType()), T.StructField("ord", T.IntegerType())]
+    + [T.StructField("forced", T.StringType())]
 )
 
 
@@ -123,6 +133,7 @@ def run_classification(
 ) -> DataFrame:
     """Route, request and commit; returns the summary rows."""
     prepare_session(spark)
+    recover(spark, store, SINK)
     master = read_master(spark, store, "standardized", STANDARDIZED)
     rows, unread, sizes = stage_input(spark, store, STAGE, master, source, limit, force)
     queue = label_queue(spark, store)
@@ -138,16 +149,17 @@ def run_classification(
     decided = decided_rows(routed, run_ts)
     outputs, usage, sent = decided, None, None
     if not prefilter_only:
-        own = queue.put(routed.filter("route = 'batch'"), run_id, batch_size)
+        own = queue.put(routed.filter("route = 'batch'"), run_id, batch_size, force)
         if labeller is not None:
             sent = own if force else queue.waiting(committed_keys(spark, store))
             usage = response_usage(queue.ask(sent, labeller, run_id), model)
             responses = queue.responses(sent)
+            queue.settle(sent, responses, run_id)
             outputs = decided.select(*CLASSIFICATION.fieldNames(), ROW_ORD).unionByName(
                 label_candidates(sent, responses, model, run_ts).select(*CLASSIFICATION.fieldNames(), ROW_ORD)
             )
             quarantine(failed_rows(join_responses(sent, responses), STAGE, run_ts), store)
-    written = _commit(outputs, store, run_id, run_ts)
+    written = commit_rows(outputs, store, SINK, run_id, run_ts)
     if sizes is not None:
         mark_consumed(sizes, store, STAGE)
     if usage is not None and prices is not None:
@@ -170,12 +182,14 @@ def collect_classification(
 ) -> DataFrame:
     """Commit the candidates, of any earlier run, whose batch now has a response."""
     prepare_session(spark)
+    recover(spark, store, SINK)
     queue = label_queue(spark, store)
     new = queue.keep(responses, run_id)
     waiting = queue.waiting(committed_keys(spark, store))
     answers = queue.responses(waiting)
+    queue.settle(waiting, answers, run_id)
     quarantine(failed_rows(join_responses(waiting, answers), STAGE, run_ts), store)
-    written = _commit(label_candidates(waiting, answers, model, run_ts), store, run_id, run_ts)
+    written = commit_rows(label_candidates(waiting, answers, model, run_ts), store, SINK, run_id, run_ts)
     if prices is not None:
         write_summary(price_usage(sum_usage(response_usage(new, model)), prices), store, STAGE, run_id, "cost")
     return written
@@ -188,20 +202,6 @@ def read_routed(spark: SparkSession, store: Store, run_id: str) -> DataFrame:
     return found.withColumn("model_classification", F.when(F.col("model_classification") != "", F.col("model_classification")))
 
 
-def _commit(outputs: DataFrame, store: Store, run_id: str, run_ts: str) -> DataFrame:
-    return commit_stage(
-        outputs,
-        store,
-        STAGE,
-        TABLE,
-        CLASSIFICATION,
-        run_id,
-        run_ts,
-        valid_table=VALID_TABLE,
-        valid_filter=F.col("model_classification") == VALID_AI_HEALTHCARE,
-    )
-
-
 def classification_summary(
     rows: DataFrame, selected: DataFrame, outputs: DataFrame, sent: DataFrame | None = None
 ) -> DataFrame:

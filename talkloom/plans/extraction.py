@@ -10,7 +10,7 @@ from talkloom.functions.keys import extraction_key
 from talkloom.functions.text import blank_if_null, null_if_blank
 from talkloom.operators.dedup import first_wins, relevant_history, skip_seen
 from talkloom.operators.summaries import counts, difference, distributions, platform_count, union_metrics
-from talkloom.plans.store import Store, commit_stage, quarantine, read_master, read_state, write_summary
+from talkloom.plans.store import Sink, Store, commit_rows, quarantine, read_master, read_state, recover, write_summary
 from talkloom.schemas import EXTRACTION, EXTRACTION_COLUMNS, QUARANTINE_COLUMNS, ROW_ORD
 from talkloom.session import prepare_session, settle
 from talkloom.sources.landing import fetched_comments, job_failures, job_rows
@@ -19,6 +19,7 @@ from talkloom.sources.uploads import list_files, read_records, upload_counts, up
 
 STAGE = "extraction"
 TABLE = "extraction_raw"
+SINK = Sink(STAGE, TABLE, EXTRACTION, key=extraction_key, partition_by="platform")
 
 
 def conform_extraction(rows: DataFrame) -> DataFrame:
@@ -93,6 +94,7 @@ def run_extraction(
     ``comments`` are lists fetched beforehand, or a function that gives them for the rows found new.
     """
     prepare_session(spark)
+    recover(spark, store, SINK)
     rows = settle(first_landings(landed))  # landed payloads are parsed once
     seen = None
     if not force:
@@ -104,9 +106,7 @@ def run_extraction(
         comments = settle(comments(rows))
     if comments is not None:
         rows = attach_comments(rows, comments)
-    written = commit_stage(
-        rows, store, STAGE, TABLE, EXTRACTION, run_id, run_ts, key=extraction_key(), partition_by="platform"
-    )
+    written = commit_rows(rows, store, SINK, run_id, run_ts)
     errors = job_errors
     if comments is not None and "status" in comments.columns:
         failed = comment_errors(written, comments, run_ts)

@@ -23,12 +23,14 @@ from talkloom.operators.summaries import counts, distributions, platform_count,
 from talkloom.plans.classification import VALID_TABLE, select_new, skipped_rows, stage_input
 from talkloom.plans.labelling import Labeller, LabelQueue
 from talkloom.plans.store import (
+    Sink,
     Store,
-    commit_stage,
+    commit_rows,
     mark_consumed,
     quarantine,
     read_master,
     read_state,
+    recover,
     write_summary,
 )
 from talkloom.schemas import (
@@ -44,6 +46,7 @@ from talkloom.sources.tables import read_table, seen_keys
 
 STAGE = "language_detection"
 TABLE = "language_detection"
+SINK = Sink(STAGE, TABLE, LANGUAGE)
 BATCH_SIZE = 20
 SCORER_NAME = "fasttext"
 
@@ -66,7 +69,7 @@ _CANDIDATE = T.StructType(
     LANGUAGE.fields[:7]
     + [T.StructField(ROW_ORD, T.ArrayType(T.LongType())), T.StructField("record_key", T.StringType())]
     + [T.StructField("row_id", T.StringType()), T.StructField("batch_id", T.StringType())]
-    + [T.StructField("ord", T.IntegerType())]
+    + [T.StructField("ord", T.IntegerType()), T.StructField("forced", T.StringType())]
 )
 
 
@@ -163,6 +166,7 @@ def run_language(
     Without ``labeller`` batch rows wait for a run that has one or for ``collect_language``.
     """
     prepare_session(spark)
+    recover(spark, store, SINK)
     settings = settings or LanguageSettings()
     master = read_master(spark, store, VALID_TABLE, CLASSIFICATION)
     rows, unread, sizes = stage_input(spark, store, STAGE, master, source, limit, force)
@@ -173,7 +177,7 @@ def run_language(
     work = store.snapshot(STAGE, run_id, "routed")
     routed.select(*_ROUTED.fieldNames()).write.mode("overwrite").partitionBy("route").parquet(work)
     routed = read_table(spark, work, _ROUTED)
-    own = queue.put(routed.filter("route = 'batch'"), run_id, batch_size)
+    own = queue.put(routed.filter("route = 'batch'"), run_id, batch_size, force)
     columns = [*LANGUAGE_COLUMNS, ROW_ORD]
     outputs = language_output(routed.filter("route <> 'batch'"), run_ts).select(*columns)
     sent = None
@@ -181,11 +185,12 @@ def run_language(
         sent = own if force else queue.waiting(committed_keys(spark, store))
         usage = response_usage(queue.ask(sent, labeller, run_id), model)
         responses = queue.responses(sent)
+        queue.settle(sent, responses, run_id)
         outputs = outputs.unionByName(answer_candidates(sent, responses, model, run_ts, settings).select(*columns))
         quarantine(failed_rows(join_responses(sent, responses), STAGE, run_ts), store)
         if prices is not None:
             write_summary(price_usage(sum_usage(usage), prices), store, STAGE, run_id, "cost")
-    written = commit_stage(outputs, store, STAGE, TABLE, LANGUAGE, run_id, run_ts)
+    written = commit_rows(outputs, store, SINK, run_id, run_ts)
     if sizes is not None:
         mark_consumed(sizes, store, STAGE)
     return write_summary(language_summary(rows, routed, written, sent), store, STAGE, run_id)
@@ -203,13 +208,15 @@ def collect_language(
 ) -> DataFrame:
     """Commit the candidates, of any earlier run, whose batch now has a response."""
     prepare_session(spark)
+    recover(spark, store, SINK)
     queue = label_queue(spark, store)
     new = queue.keep(responses, run_id)
     waiting = queue.waiting(committed_keys(spark, store))
     answers = queue.responses(waiting)
+    queue.settle(waiting, answers, run_id)
     quarantine(failed_rows(join_responses(waiting, answers), STAGE, run_ts), store)
     answered = answer_candidates(waiting, answers, model, run_ts, settings or LanguageSettings())
-    written = commit_stage(answered, store, STAGE, TABLE, LANGUAGE, run_id, run_ts)
+    written = commit_rows(answered, store, SINK, run_id, run_ts)
     if prices is not None:
         write_summary(price_usage(sum_usage(response_usage(new, model)), prices), store, STAGE, run_id, "cost")
     return written

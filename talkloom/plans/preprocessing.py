@@ -9,12 +9,14 @@ from talkloom.operators.standardize import standardize, standardize_counts
 from talkloom.operators.summaries import counts, difference, distributions, platform_count, union_metrics
 from talkloom.plans.store import (
     ORDER,
+    Sink,
     Store,
-    commit_stage,
+    commit_rows,
     mark_consumed,
     ordered_source,
     read_master,
     read_state,
+    recover,
     unread_runs,
     write_summary,
 )
@@ -24,6 +26,7 @@ from talkloom.sources.tables import seen_keys
 
 STAGE = "preprocessing"
 TABLE = "standardized"
+SINK = Sink(STAGE, TABLE, STANDARDIZED)
 
 
 def run_preprocessing(
@@ -42,6 +45,7 @@ def run_preprocessing(
     to be through; its counters then cover the rows that were read.
     """
     prepare_session(spark)
+    recover(spark, store, SINK)
     sizes = None
     if source is None:
         master = read_master(spark, store, "extraction_raw", EXTRACTION)
@@ -56,7 +60,7 @@ def run_preprocessing(
     if not force:
         seen = seen_keys(read_master(spark, store, TABLE, STANDARDIZED), read_state(spark, store, STAGE))
         seen = relevant_history(seen, rows.select("record_key"))
-    written = commit_stage(skip_seen(rows, seen), store, STAGE, TABLE, STANDARDIZED, run_id, run_ts)
+    written = commit_rows(skip_seen(rows, seen), store, SINK, run_id, run_ts)
     if sizes is not None:
         mark_consumed(sizes, store, STAGE)
     if not summarize:

@@ -1,20 +1,24 @@
 """Where stage tables live and how a stage commits its rows.
 
-Commit order: run snapshot, master, state. The snapshot is the one place where the
-stage's plan is evaluated; master and state are fed from the written files, so a lost
-executor can not make them disagree. State goes last: a crash in between re-does work
-on the next run, where the keys already in the master are skipped, and loses nothing.
+Commit order: run snapshot, master, valid-only rows, state. The snapshot is the one place where the
+stage's plan is evaluated; the others are fed from the written files, so a lost
+executor can not make them disagree. Every step replaces its own output and is marked when it is
+through (``commits``): after a lost driver the next run of the stage first carries the open
+commit to its end, so nothing is lost, repeated or worked out twice.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from talkloom.functions.keys import row_key
 from talkloom.functions.text import blank_if_null, null_if_blank
+from talkloom.plans.commits import DONE, MASTER, SNAPSHOT, STATE as STATE_STEP, VALID, Commit, CommitLog
 from talkloom.schemas import QUARANTINE, ROW_ORD, STATE, STATE_COLUMNS
 from talkloom.session import settle
 from talkloom.sources.tables import conform, read_table
@@ -120,19 +124,127 @@ def append_table(df: DataFrame, path: str, partition_by: str | None = None) -> i
     return rows
 
 
-def state_rows(rows: DataFrame, stage: str, run_ts: str, key: Column | None = None) -> DataFrame:
+def state_rows(rows: DataFrame, stage: str, run_ts: str | Column, key: Column | None = None) -> DataFrame:
     """State table rows: one per record, all with the timestamp of the run."""
     present = set(rows.columns)
     values = {
         "stage": F.lit(stage),
         "record_key": key if key is not None else (F.col("record_key") if "record_key" in present else row_key()),
-        "processed_at_utc": F.lit(run_ts),
+        "processed_at_utc": run_ts if isinstance(run_ts, Column) else F.lit(run_ts),
     }
     for name in ("platform", "id", "associated_id"):
         values[name] = blank_if_null(name) if name in present else F.lit("")
     return rows.select(*[values[c].alias(c) for c in STATE_COLUMNS])
 
 
+@dataclass(frozen=True)
+class Sink:
+    """Where the rows of one stage go. ``key`` and ``valid`` give columns, made when they are needed."""
+
+    stage: str
+    table: str
+    schema: T.StructType
+    key: Callable[[], Column] | None = None
+    partition_by: str | None = None
+    valid_table: str | None = None
+    valid: Callable[[], Column] | None = None
+
+
+def snapshot_path(store: Store, sink: Sink, run_id: str, attempt: int, table: str | None = None) -> str:
+    """Where an attempt keeps its rows; a repeated run leaves the rows of its first attempt alone."""
+    run = run_id if attempt == 0 else f"{run_id}/attempt-{attempt}"
+    return store.snapshot(sink.stage, run, table or sink.table)
+
+
+def read_snapshots(spark: SparkSession, store: Store, sink: Sink, run_id: str) -> DataFrame:
+    """The rows of all attempts of a run."""
+    schema = T.StructType(sink.schema.fields + _TECHNICAL[:1])
+    rows = None
+    for attempt in CommitLog(spark, store.root, sink.stage).attempts(run_id):
+        part = read_table(spark, snapshot_path(store, sink, run_id, attempt), schema)
+        rows = part if rows is None else rows.unionByName(part)
+    return spark.createDataFrame([], schema) if rows is None else rows
+
+
+def recover(spark: SparkSession, store: Store, sink: Sink) -> list[str]:
+    """Carry commits that were cut short to their end, before a stage looks at what it has seen."""
+    ended = []
+    for commit in CommitLog(spark, store.root, sink.stage).left_open():
+        if commit.done(SNAPSHOT):
+            finish(spark, store, sink, commit)
+            ended.append(commit.run_id)
+        else:
+            commit.drop()
+    return ended
+
+
+def is_committed(spark: SparkSession, store: Store, stage: str, run_id: str) -> bool:
+    return CommitLog(spark, store.root, stage).through(run_id)
+
+
+def commit_rows(rows: DataFrame, store: Store, sink: Sink, run_id: str, run_ts: str) -> DataFrame:
+    """Write one stage's new rows to snapshot, master and state; returns the snapshot.
+
+    Each step replaces what it wrote before as a whole and is marked when it is through, so a repeat after a
+    crash at any point writes every row once.
+    """
+    recover(rows.sparkSession, store, sink)
+    return finish(rows.sparkSession, store, sink, write_snapshot(rows, store, sink, run_id, run_ts))
+
+
+def write_snapshot(rows: DataFrame, store: Store, sink: Sink, run_id: str, run_ts: str) -> Commit:
+    """The first step of a commit: from here on it will be carried to its end, by this run or by the next."""
+    commit = CommitLog(rows.sparkSession, store.root, sink.stage).next(run_id)
+    commit.begin()
+    path = snapshot_path(store, sink, run_id, commit.attempt)
+    out = rows.select(*sink.schema.fieldNames(), ROW_ORD).withColumn("processed_at_utc", F.lit(run_ts))
+    if sink.partition_by is not None:
+        # A blank platform would otherwise become Hive's default partition.
+        part = F.coalesce(null_if_blank(sink.partition_by), F.lit("unknown"))
+        out.withColumn(f"{sink.partition_by}_part", part).write.mode("overwrite").partitionBy(f"{sink.partition_by}_part").parquet(path)
+    else:
+        out.write.mode("overwrite").parquet(path)
+    commit.mark(SNAPSHOT)
+    return commit
+
+
+def finish(spark: SparkSession, store: Store, sink: Sink, commit: Commit) -> DataFrame:
+    """The steps after the snapshot, all fed from it; those marked are left out. Returns the attempt's rows."""
+    stamped = read_snapshots(spark, store, sink, commit.run_id).withColumn("run_id", F.lit(commit.run_id))
+    if not commit.done(MASTER):
+        replace_run(stamped, store.master(sink.table))
+        commit.mark(MASTER)
+    own = read_table(
+        spark,
+        snapshot_path(store, sink, commit.run_id, commit.attempt),
+        T.StructType([*sink.schema.fields, *_TECHNICAL[:1], T.StructField("processed_at_utc", T.StringType())]),
+    )
+    if sink.valid_table is not None and not commit.done(VALID):
+        # Both valid-only tables exist even when nothing was valid.
+        valid_copy = snapshot_path(store, sink, commit.run_id, commit.attempt, sink.valid_table)
+        own.drop("processed_at_utc").filter(sink.valid()).write.mode("overwrite").parquet(valid_copy)
+        write_valid(stamped, store, sink)
+        commit.mark(VALID)
+    if not commit.done(STATE_STEP):
+        key = sink.key() if sink.key is not None else None
+        state = state_rows(own, sink.stage, F.col("processed_at_utc"), key)
+        # An attempt has a folder of its own, so writing it again replaces it.
+        state.write.mode("overwrite").parquet(f"{store.state(sink.stage)}/commit={quote(commit.run_id, safe='')}@{commit.attempt}")
+        commit.mark(STATE_STEP)
+    commit.mark(DONE)
+    return own.drop("processed_at_utc")
+
+
+def replace_run(stamped: DataFrame, path: str) -> None:
+    """Write the rows of one run as its partition, in place of what was there; no rows create nothing."""
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def write_valid(stamped: DataFrame, store: Store, sink: Sink) -> None:
+    """The valid-only rows of one run. Runs without any are known by their commit alone and are never looked at again."""
+    replace_run(stamped.filter(sink.valid()), store.master(sink.valid_table))
+
+
 def commit_stage(
     rows: DataFrame,
     store: Store,
@@ -146,47 +258,9 @@ def commit_stage(
     valid_table: str | None = None,
     valid_filter: Column | None = None,
 ) -> DataFrame:
-    """Write one stage's new rows to snapshot, master and state; returns the snapshot."""
-    spark = rows.sparkSession
-    columns = schema.fieldNames()
-    path = store.snapshot(stage, run_id, table)
-    out = rows.select(*columns, ROW_ORD)
-    if partition_by is not None:
-        # A blank platform would otherwise become Hive's default partition.
-        out = out.withColumn(f"{partition_by}_part", F.coalesce(null_if_blank(partition_by), F.lit("unknown")))
-        out.write.mode("overwrite").partitionBy(f"{partition_by}_part").parquet(path)
-    else:
-        out.write.mode("overwrite").parquet(path)
-    written = read_table(spark, path, T.StructType(schema.fields + _TECHNICAL[:1]))
-    stamped = written.withColumn("run_id", F.lit(run_id))
-    append_table(stamped, store.master(table), "run_id")
-    if valid_table is not None:
-        valid = written.filter(valid_filter)
-        # Both valid-only tables exist even when nothing was valid.
-        valid.write.mode("overwrite").parquet(store.snapshot(stage, run_id, valid_table))
-        write_valid(stamped, store, table, valid_table, run_id, valid_filter)
-    append_table(state_rows(written, stage, run_ts, key), store.state(stage))
-    return written
-
-
-def write_valid(
-    stamped: DataFrame, store: Store, table: str, valid_table: str, run_id: str, valid_filter: Column
-) -> None:
-    """Derive the valid-only rows of this run, and of runs that were lost before theirs were
-    written, from the master. A run's partition is replaced as a whole, so a replay neither
-    loses nor repeats rows.
-    """
-    spark = stamped.sparkSession
-    path = store.master(valid_table)
-    master = read_table(spark, store.master(table), stamped.schema)
-
-    def runs(rows: DataFrame) -> set[str]:
-        return {r["run_id"] for r in rows.select("run_id").distinct().collect()}  # partition values
-
-    lost = runs(master) - runs(read_table(spark, path, stamped.schema))
-    valid = master.filter(F.col("run_id").isin([run_id, *sorted(lost)])).filter(valid_filter)
-    writer = valid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("run_id").parquet(path)
+    """``commit_rows`` for a sink described by its parts."""
+    sink = Sink(stage, table, schema, None if key is None else lambda: key, partition_by, valid_table, lambda: valid_filter)
+    return commit_rows(rows, store, sink, run_id, run_ts)
 
 
 def quarantine(errors: DataFrame, store: Store) -> int:

@@ -117,7 +117,7 @@ def test_an_answer_whose_run_was_lost_is_used_and_not_asked_for_again(spark, sto
 
     calls = spark.sparkContext.accumulator(0)
     rows = two_candidates(spark)
-    monkeypatch.setattr(classification, "commit_stage", crash)
+    monkeypatch.setattr(classification, "commit_rows", crash)
     with pytest.raises(RuntimeError):
         classify(spark, store, "one", rows, counting_labeller(calls))
     monkeypatch.undo()

@@ -119,17 +119,15 @@ def test_preprocessing_is_incremental(spark, store):
 
 def test_crash_between_master_and_state_loses_and_repeats_nothing(spark, store, monkeypatch):
     rows = extraction(spark, {"platform": "reddit", "id": "1", "text": "a"}, {"platform": "reddit", "id": "2", "text": "b"})
-    real = store_module.append_table
+    real = store_module.state_rows
 
-    def broken(df, path, partition_by=None):
-        if "/state/" in path:
-            raise KeyboardInterrupt
-        return real(df, path, partition_by)
+    def broken(*args):
+        raise KeyboardInterrupt
 
-    monkeypatch.setattr(store_module, "append_table", broken)
+    monkeypatch.setattr(store_module, "state_rows", broken)
     with pytest.raises(KeyboardInterrupt):
         run_preprocessing(spark, store, "r1", RUN_TS, rows)
-    monkeypatch.setattr(store_module, "append_table", real)
+    monkeypatch.setattr(store_module, "state_rows", real)
     more = extraction(spark, {"platform": "reddit", "id": "1", "text": "a"}, {"platform": "reddit", "id": "3", "text": "c"})
     stats = metrics_of(run_preprocessing(spark, store, "r2", RUN_TS, more))
     assert stats[("new_rows_added", "")] == 1
