@@ -17,6 +17,7 @@ from talkloom.plans.store import Store, append_table, commit_stage, export_csv,
 from talkloom.schemas import CLASSIFICATION, EXTRACTION, REQUEST, STANDARDIZED, text_schema
 from talkloom.sources.tables import read_table, read_values, seen_keys
 from talkloom.streaming.runner import read_landing, stream_classification, stream_preprocessing
+from talkloom.streaming.seen_state import keyed_first_wins
 
 _STATE_COLUMNS = "stage, record_key, platform, id, associated_id, processed_at_utc"
 
@@ -55,6 +56,21 @@ def streamed(spark, sf):
     return read_master(spark, store, "standardized", STANDARDIZED).select("id", "platform", "category", "text", "collection_method")
 
 
+@query("q_stream_keyed", with_std("SELECT id, CASE WHEN quality >= 0 THEN text ELSE text || ' copy' END AS text FROM std"))
+def streamed_keyed(spark, sf):
+    """Two landings with differing copies through a stream that keeps its seen-set as state: the first copy wins."""
+    folder = scratch(spark)
+    rows = std(spark, sf)
+    for copy, part in enumerate((rows.filter("quality >= 0"), rows.withColumn("text", F.concat("text", F.lit(" copy"))))):
+        part.select("id", "text", F.array(F.lit(copy).cast("bigint"), "doc_id").alias("row_ord")).write.mode("append").parquet(f"{folder}/landing")
+    schema = "id string, text string, row_ord array<long>"
+    landing = read_landing(spark, f"{folder}/landing", schema=schema, files_per_batch=8)
+    first = keyed_first_wins(landing, F.col("id"), "row_ord")
+    sink = first.writeStream.format("parquet").option("path", f"{folder}/first").option("checkpointLocation", f"{folder}/checkpoint")
+    sink.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(schema).parquet(f"{folder}/first").select("id", "text")
+
+
 @query(
     "q_stream_classify",
     with_std("SELECT id, available_terms, model_used, model_classification FROM output", FLAGGED, ROUTED, PREFILTER),
