@@ -13,7 +13,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from talkloom.functions.keys import row_key
@@ -92,10 +93,26 @@ def mark_consumed(sizes: DataFrame, store: Store, stage: str) -> None:
     append_table(sizes, _consumed_path(store, stage))
 
 
+def file_order(df: DataFrame) -> DataFrame | None:
+    """A scan of Parquet files with ``row_ord``: place of the file among the sorted paths, row in the file.
+
+    However the scan is cut and packed into tasks, a row has the same place. The places are a table with a
+    row per file, numbered by Spark. None where the rows do not come from such files.
+    """
+    try:
+        placed = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return None
+    paths = placed.select("_path").distinct()
+    files = paths.withColumn("_file", F.row_number().over(Window.orderBy("_path")).cast("bigint"))
+    return placed.join(files, "_path").withColumn(ROW_ORD, F.array("_file", "_row")).select(*df.columns, ROW_ORD)
+
+
 def ordered_source(df: DataFrame) -> DataFrame:
-    """A stage input with its order columns; a plain file scan is ordered as scanned."""
+    """A stage input with its order columns; plain Parquet files are ordered by path and row, others as scanned."""
     if ROW_ORD not in df.columns:
-        df = df.withColumn(ROW_ORD, F.array(F.monotonically_increasing_id()))
+        placed = file_order(df)
+        df = placed if placed is not None else df.withColumn(ROW_ORD, F.array(F.monotonically_increasing_id()))
     if "run_id" not in df.columns:
         df = df.withColumn("run_id", F.lit(""))
     return df

@@ -17,7 +17,8 @@ KEYWORD_PLATFORMS = ("reddit", "youtube", "twitter")
 # --- end of fixed values ---
 
 IDS_PER_ROW = 10_000
-PAIR_BLOCKS = 64
+#: Values of either list in one cell of their product.
+BLOCK = 1_000
 
 
 def keyword_jobs(keywords: DataFrame) -> DataFrame:
@@ -31,24 +32,24 @@ def keyword_jobs(keywords: DataFrame) -> DataFrame:
     )
 
 
-def subreddit_jobs(subreddits: DataFrame, keywords: DataFrame, blocks: int = PAIR_BLOCKS) -> DataFrame:
+def subreddit_jobs(subreddits: DataFrame, keywords: DataFrame, block: int = BLOCK) -> DataFrame:
     """One search per subreddit and keyword.
 
-    Every pair is wanted, so the output is the product. It is formed as an equi-join on
-    blocks of the keyword list: each block is a task of its own, and neither list is
-    ever held whole in one.
+    Every pair is wanted, so the output is the product. Both lists are cut into blocks of about ``block`` values,
+    as many as their counts ask for, and the product is formed as an equi-join on the grid of
+    block x block: a cell holds one block of either list, and neither list is ever whole in one task.
     """
-    left = subreddits.select(
-        F.col("value").alias("subreddit"),
-        F.col("pos").alias("_s"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
-    )
-    right = keywords.select(
-        F.col("value").alias("keyword"),
-        F.col("pos").alias("_k"),
-        F.pmod(F.xxhash64("pos"), F.lit(blocks)).cast("int").alias("_block"),
-    )
-    return left.join(right, "_block").select(
+    rows, columns = (max(1, -(-values.count() // block)) for values in (subreddits, keywords))
+
+    def cells(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def place(n: int):
+        return F.pmod(F.xxhash64("pos"), F.lit(n)).cast("int")
+
+    left = subreddits.select(F.col("value").alias("subreddit"), F.col("pos").alias("_s"), place(rows).alias("_i"), cells(columns).alias("_j"))
+    right = keywords.select(F.col("value").alias("keyword"), F.col("pos").alias("_k"), cells(rows).alias("_i"), place(columns).alias("_j"))
+    return left.join(right, ["_i", "_j"]).select(
         F.lit("reddit").alias("platform"),
         F.lit("subreddit_keyword").alias("collection_method"),
         "subreddit",
