@@ -180,7 +180,7 @@ def collect_classification(
     responses: DataFrame,
     prices: DataFrame | None = None,
 ) -> DataFrame:
-    """Commit the candidates, of any earlier run, whose batch now has a response."""
+    """Commit the candidates, of any earlier run, whose batch now has a response, and summarize them: what waited is the input."""
     prepare_session(spark)
     recover(spark, store, SINK)
     queue = label_queue(spark, store)
@@ -192,6 +192,7 @@ def collect_classification(
     written = commit_rows(label_candidates(waiting, answers, model, run_ts), store, SINK, run_id, run_ts)
     if prices is not None:
         write_summary(price_usage(sum_usage(response_usage(new, model)), prices), store, STAGE, run_id, "cost")
+    write_summary(classification_summary(waiting, waiting, written, queue.answered(waiting, answers)), store, STAGE, run_id)
     return written
 
 

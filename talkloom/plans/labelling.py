@@ -112,5 +112,9 @@ class LabelQueue:
         kept = read_table(self.spark, self.path("responses"), _KEPT)
         return kept.join(waiting.select("batch_id").distinct(), "batch_id", "left_semi")
 
+    def answered(self, waiting: DataFrame, responses: DataFrame) -> DataFrame:
+        """The waiting rows whose batch has a response."""
+        return waiting.join(responses.select("batch_id").distinct(), "batch_id", "left_semi")
+
     def _requests(self, rows: DataFrame) -> DataFrame:
         return build_requests(rows, self.instructions, self.answer_format)

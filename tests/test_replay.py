@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from talkloom.operators.batches import join_responses
 from talkloom.plans import classification, store as stores
-from talkloom.plans.classification import run_classification
+from talkloom.plans.classification import collect_classification, run_classification
 from talkloom.plans.language import run_language
 from talkloom.plans.store import commit_stage, read_master
 from talkloom.schemas import CLASSIFICATION
@@ -142,3 +142,38 @@ def test_language_batches_wait_for_a_labeller(spark, store):
     assert stats[("rows_sent_to_gpt", "")] == 1 and calls.value == 1
     stats = metrics_of(run_language(spark, store, "last", RUN_TS, MODEL, rows, labeller=counting_labeller(calls)))
     assert stats[("new_rows_processed", "")] == 0 and calls.value == 1
+
+
+def test_a_forced_run_without_a_labeller_keeps_what_it_asks_for(spark, store):
+    """Rows that are committed already wait again, until their own batch is answered; collecting writes a summary."""
+    rows = two_candidates(spark)
+    classify(spark, store, "one", rows, counting_labeller(spark.sparkContext.accumulator(0)))
+    for run in ("two", "three"):
+        classify(spark, store, run, rows, force=True)
+    queue = classification.label_queue(spark, store)
+    answer = counting_labeller(spark.sparkContext.accumulator(0))(spark.read.parquet(queue.path("prompts", "two")))
+    for run, new in (("four", 2), ("five", 0)):
+        collect_classification(spark, store, run, RUN_TS, MODEL, answer)
+        summary = metrics_of(spark.read.json(store.snapshot("classification", run, "summary")))
+        assert summary[("new_rows_processed", "")] == new and summary[("input_rows", "")] == (4 if new else 2)
+        assert len(labelled(spark, store)) == 4
+    stats = classify(spark, store, "six", rows, counting_labeller(spark.sparkContext.accumulator(0)))
+    assert stats[("rows_sent_to_gpt", "")] == 2 and len(labelled(spark, store)) == 6  # what run three asked for
+
+
+def test_answers_to_forced_rows_count_from_the_snapshot_on(spark, store, monkeypatch):
+    def crash(*args, **kwargs):
+        raise RuntimeError("driver lost")
+
+    rows = two_candidates(spark)
+    classify(spark, store, "one", rows, counting_labeller(spark.sparkContext.accumulator(0)))
+    classify(spark, store, "two", rows, force=True)
+    queue = classification.label_queue(spark, store)
+    answer = counting_labeller(spark.sparkContext.accumulator(0))(spark.read.parquet(queue.path("prompts", "two")))
+    for step in ("write_snapshot", "finish"):  # lost before and after the snapshot
+        monkeypatch.setattr(stores, step, crash)
+        with pytest.raises(RuntimeError):
+            collect_classification(spark, store, "three", RUN_TS, MODEL, answer)
+        monkeypatch.undo()
+    collect_classification(spark, store, "three", RUN_TS, MODEL, answer)
+    assert len(labelled(spark, store)) == 4
