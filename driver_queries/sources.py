@@ -65,7 +65,7 @@ _LANDED_JOBS = """j AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 11 = 0 THEN
       UNION ALL SELECT o_custkey + 1, o_orderkey, o_orderstatus, o_orderkey FROM orders WHERE o_orderkey % 5 = 0),
     placed AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY pos) AS place FROM a JOIN j USING (k)),
     kept AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY kind, k, pos) AS landing FROM placed WHERE kind = 0 OR place <= lim),
-    l AS (SELECT l_orderkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS r FROM lineitem)"""
+    l AS (SELECT l_orderkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_returnflag) AS r FROM lineitem)"""
 
 
 @query(
