@@ -40,8 +40,10 @@ def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for tables a query writes: in the cluster's shared folder, if it names one."""
+    """A new folder for tables a query writes: in the shared folder of the cluster; a local one only where Spark runs locally."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="talkloom-query-")
     return f"{base}/talkloom-{uuid.uuid4().hex}"
 
