@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from talkloom.llm.cells import CELL, Overlap, by_cell
 from talkloom.llm.components import connected
 from talkloom.llm.jaccard_join import fingerprint
 from talkloom.llm.signature_tree import UnionFind, similar
@@ -43,8 +44,8 @@ BLOCK_SETS = 1 << 11
 PAIRS_PER_SET = 4
 PIECE_ROWS = 1 << 18
 PIECE_BYTES = 16 << 20
-#: Pairs compared at once, and columns of the bitmaps for that.
-PAIRS, COLUMNS = 1 << 12, 1 << 14
+#: Pairs compared at once.
+PAIRS = 1 << 12
 U = np.uint64
 _NUMBERS = mix(np.arange(1, 2 * HASHES + 1, dtype=U))
 _SALT, _TIMES = _NUMBERS[:HASHES], _NUMBERS[HASHES:] | U(1)
@@ -155,40 +156,6 @@ def open_ends(label: np.ndarray, n: np.ndarray, sig: np.ndarray, num: int, den:
                 yield x[near], y[near]
 
 
-class Overlap:
-    """Exact sizes of the intersections of sets, by bitmaps over the tokens that two of them or more have."""
-
-    def __init__(self, own: list[np.ndarray]):
-        self.n = np.array([len(s) for s in own], np.int64)
-        owner = np.repeat(np.arange(len(own)), self.n)
-        _, place, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-        column = np.cumsum(times > 1) - 1
-        shared = times[place] > 1
-        owner, column = owner[shared], column[place[shared]]
-        self.slabs = []
-        for low in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
-            inside = (column >= low) & (column < low + COLUMNS)
-            at = column[inside] - low
-            rows, where = np.unique(owner[inside], return_inverse=True)
-            maps = np.zeros((len(rows) + 1, COLUMNS // 64), U)  # the last row is empty
-            np.bitwise_or.at(maps, (where, at >> 6), U(1) << (at & 63).astype(U))
-            row = np.full(len(own), len(rows))
-            row[rows] = np.arange(len(rows))
-            self.slabs.append((row, maps))
-
-    def of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(x), np.int64)
-        for row, maps in self.slabs:
-            p, q = row[x], row[y]
-            some = np.flatnonzero((p < len(maps) - 1) & (q < len(maps) - 1))
-            total[some] += np.bitwise_count(maps[p[some]] & maps[q[some]]).sum(1, dtype=np.int64)
-        return total
-
-    def similar(self, x: np.ndarray, y: np.ndarray, num: int, den: int) -> np.ndarray:
-        both = self.of(x, y)
-        return den * both >= num * (self.n[x] + self.n[y] - both)
-
-
 def link_sets(fps: np.ndarray, own: list[np.ndarray], sig: np.ndarray, num: int, den: int, label: np.ndarray | None = None, block: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that join all similar sets (of different labels and blocks, where these are given) into components."""
     found, edges = UnionFind(len(own)), []
@@ -259,31 +226,6 @@ def cells_of(members: DataFrame, live: DataFrame, work: Work) -> DataFrame:
     return work.keep(cells, "cells")
 
 
-CELL = ["key", "i", "j"]
-
-
-def by_cell(rows: DataFrame, pieces: int, columns: list[str], act, schema: str) -> DataFrame:
-    """``act(cell, columns as lists)`` for every cell of two sets or more; yields record batches. A set comes once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        cell = None
-        for batch in batches:
-            for key, i, j, *row in zip(*(batch.column(c).to_pylist() for c in (*CELL, *columns))):
-                if (key, i, j) != cell:
-                    if len(held) > 1:
-                        yield act(cell, list(zip(*held)))
-                    held, cell = [], (key, i, j)
-                if not held or held[-1][0] != row[0]:
-                    held.append(tuple(row))
-        if len(held) > 1:
-            yield act(cell, list(zip(*held)))
-
-    pieces = max(pieces, rows.sparkSession.sparkContext.defaultParallelism)
-    dealt = rows.select(*CELL, *columns).repartition(pieces, *CELL).sortWithinPartitions(*CELL, "fp")
-    return dealt.mapInArrow(run, schema)
-
-
 def estimated(cells: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b, key, i, j): pairs left open in cells of few, and the cells of many (a, b null)."""
 

@@ -10,11 +10,12 @@
 4. Completion: prefix tokens are counted again, now between different components. Components
    that cannot have a link to another are done; so are those that share less than three quarters of
    their whole sets with others. For the rest, in an order of tokens
-   that puts rare ones first, sets meet by prefix token, a signature tree per token rules out
-   pairs, and what is left is compared exactly. So no link is lost, whatever step 3 missed.
+   that puts rare ones first, sets meet by prefix token, and a signature tree per token and the places
+   of the token rule out pairs. At most one pair per set leaves a token and is compared exactly; a token
+   with more gets the whole sets and compares them where they meet, in a grid of blocks
+   if it is large. So no link is lost, whatever step 3 missed.
 
-Nothing is emitted per pair inside a group before a tree has ruled pairs out, a token of many
-sets leaves a scan task once per Arrow batch, and the driver sees counts only.
+Nothing is emitted per pair inside a group, and the driver sees counts only.
 """
 
 from __future__ import annotations
@@ -25,17 +26,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from talkloom.llm.cells import Overlap, by_cell
 from talkloom.llm.components import connected
-from talkloom.llm.signature_tree import Tree, bitmaps, link, similar
+from talkloom.llm.signature_tree import Tree, UnionFind, bitmaps, link, similar
 from talkloom.llm.textbytes import Words, mix, shingle_sets, slices
 from talkloom.llm.work import Work, small
 
 ORDERS = 3
 #: Tokens of a counting bucket, and bytes of the sets of one chunk.
-BUCKET_TOKENS = 1 << 20
-CHUNK_BYTES = 16 << 20
+BUCKET_TOKENS = 1 << 18
+CHUNK_BYTES = 4 << 20
 SKETCH = 1 << 16
-PAIR_BITS = 1024
+PAIR_BITS = 2048
+#: Sets of a token that are compared in one piece; more form a grid of blocks.
+HOT_SETS = 1 << 11
+#: A token with more open pairs per set than this gets the whole sets.
+PAIRS_PER_SET = 2
+PIECE_ROWS = 1 << 17
+ROWS_PER_BATCH = 1 << 13
 U = np.uint64
 
 
@@ -234,39 +242,109 @@ def sketch_of(sets: DataFrame) -> np.ndarray:
     return out
 
 
-def pairs_between(sets: DataFrame, sketch: np.ndarray, buckets: int) -> DataFrame:
-    """(a, b): pairs of sets of different labels that share a prefix token and may be similar."""
+def prefix_rows(sets: DataFrame, sketch: np.ndarray) -> DataFrame:
+    """(token, at, fp, label, n, bits): the prefix tokens of every set and their places, rare ones first."""
     levels = np.log2(sketch + 1).astype(np.int64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [np.frombuffer(b, U) for b in batch.column("tokens").to_pylist()]
-            maps = bitmaps(own, PAIR_BITS)
-            for tokens, bits, fp, label in zip(own, maps, batch.column("fp").to_pylist(), batch.column("label").to_pylist()):
-                n = len(tokens)
+            if not own:
+                continue
+            firsts = []
+            for tokens in own:
                 rare = levels[(tokens >> U(40)).astype(np.int64) % SKETCH]
-                first = tokens[np.lexsort((tokens, rare))[: n - -(-3 * n // 4) + 1]]
-                k = len(first)
-                columns = [(first % U(buckets)).astype(np.int32), first.astype(np.int64), np.full(k, fp), np.full(k, label), np.full(k, n)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns] + [pa.array([bits.tobytes()] * k, pa.binary())], ["bucket", "token", "fp", "label", "n", "bits"])
+                n = len(tokens)
+                firsts.append(tokens[np.lexsort((tokens, rare))[: n - -(-3 * n // 4) + 1]])
+            k = np.array([len(f) for f in firsts])
+            owner = np.repeat(np.arange(len(own)), k)
+            bits = pa.array([m.tobytes() for m in bitmaps(own, PAIR_BITS)], pa.binary())
+            for low in range(0, len(owner), ROWS_PER_BATCH):
+                part = owner[low : low + ROWS_PER_BATCH]
+                at = np.arange(low, low + len(part)) - (np.cumsum(k) - k)[part]
+                token = np.concatenate([firsts[i] for i in range(part[0], part[-1] + 1)])[at[0] :][: len(part)]
+                columns = [pa.array(token.astype(np.int64)), pa.array(at)] + [batch.column(c).take(pa.array(part)) for c in ("fp", "label", "n")]
+                yield pa.RecordBatch.from_arrays([*columns, bits.take(pa.array(part))], ["token", "at", "fp", "label", "n", "bits"])
+
+    return sets.select("fp", "label", "n", "tokens").mapInArrow(deal, "token long, at long, fp long, label long, n long, bits binary")
+
+
+def met(rows: DataFrame, pieces: int) -> DataFrame:
+    """(a, b, token, held, size, mark): open pairs of tokens with few, and the tokens with many (a, b null).
+
+    A pair is open at a token if bitmaps and sizes allow it and so do the places of the token: the first
+    token two similar sets share leaves enough behind it in both. ``mark`` tells the groups of tokens apart.
+    """
 
-    def meet(table: pa.Table) -> pa.Table:
-        token, fp, label, n = (table.column(c).to_numpy() for c in ("token", "fp", "label", "n"))
+    def meet(cell: tuple, columns: list) -> pa.RecordBatch:
+        fp, label, n, at = (np.array(columns[k], np.int64) for k in range(4))
         label = np.unique(label, return_inverse=True)[1]  # the tree takes negative numbers for mixed nodes
-        maps = np.frombuffer(b"".join(table.column("bits").to_pylist()), U).reshape(len(token), -1)
-        order = np.lexsort((n, token))
-        head = np.flatnonzero(np.append(True, token[order][1:] != token[order][:-1])[: len(token)])
-        found: set[tuple[int, int]] = set()
-        for a, b in zip(head.tolist(), [*head[1:].tolist(), len(token)]):
-            rows = order[a:b]
-            if b - a > 1 and (label[rows] != label[rows[0]]).any():
-                for i, j in Tree(maps[rows], n[rows]).pairs(lambda rows=rows: label[rows]):
-                    found.update((min(x, y), max(x, y)) for x, y in zip(fp[rows[i]].tolist(), fp[rows[j]].tolist()) if x != y)
-        ends = list(found)
-        return pa.table({"a": pa.array([x for x, _ in ends], pa.int64()), "b": pa.array([y for _, y in ends], pa.int64())})
-
-    dealt = sets.select("fp", "label", "n", "tokens").mapInArrow(deal, "bucket int, token long, fp long, label long, n long, bits binary")
-    return dealt.groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
+        ends: list[tuple[int, int]] = []
+        if label.any():
+            maps = np.frombuffer(b"".join(columns[4]), U).reshape(len(fp), -1)
+            order = np.argsort(n, kind="stable")
+            for i, j in Tree(maps[order], n[order]).pairs(lambda: label[order]):
+                i, j = order[i], order[j]
+                enough = 7 * np.minimum(n[i] - at[i], n[j] - at[j]) >= 3 * (n[i] + n[j])
+                i, j = i[enough], j[enough]
+                ends += zip(np.minimum(fp[i], fp[j]).tolist(), np.maximum(fp[i], fp[j]).tolist())
+                if len(ends) > PAIRS_PER_SET * len(fp):
+                    break
+        many = len(ends) > PAIRS_PER_SET * len(fp)
+        out = [(None, None, cell[0], len(fp), int(n.sum()), int(np.bitwise_xor.reduce(fp)))] if many else [(*e, *[None] * 4) for e in ends]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(6)], ["a", "b", "token", "held", "size", "mark"])
+
+    cells = rows.select(F.col("token").alias("key"), F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", "label", "n", "at", "bits")
+    return by_cell(cells, pieces, ["fp", "label", "n", "at", "bits"], meet, "a long, b long, token long, held long, size long, mark long")
+
+
+def linked_on_the_spot(cells: DataFrame) -> DataFrame:
+    """(a, b): links that join the similar sets (fp, label, block, tokens) of every cell, by a signature tree and whole sets."""
+
+    def act(cell: tuple, columns: list) -> pa.RecordBatch:
+        fp, label, block = (np.array(columns[k], np.int64) for k in range(3))
+        own = [np.frombuffer(t, U) for t in columns[3]]
+        whole, found, ends = Overlap(own), UnionFind(len(own)), []
+        first: dict[int, int] = {}
+        for i, name in enumerate(label.tolist()):
+            found.join(first.setdefault(name, i), i)
+        order = np.argsort(whole.n, kind="stable")
+        tree = Tree(bitmaps([own[i] for i in order]), whole.n[order])
+        for i, j in tree.pairs(lambda: found.roots()[order]):
+            i, j = order[i], order[j]
+            apart = found.roots()[i] != found.roots()[j]
+            if cell[1] != cell[2]:
+                apart &= block[i] != block[j]
+            i, j = i[apart], j[apart]
+            alike = whole.similar(i, j, 3, 4)
+            for x, y in zip(i[alike].tolist(), j[alike].tolist()):
+                if found.root(x) != found.root(y):
+                    found.join(x, y)
+                    ends.append((int(fp[x]), int(fp[y])))
+        return pa.RecordBatch.from_arrays([pa.array([e[k] for e in ends], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    size = cells.agg(F.sum(F.length("tokens"))).first()[0] or 0
+    return by_cell(cells, -(-size // CHUNK_BYTES), ["fp", "label", "block", "tokens"], act, "a long, b long")
+
+
+def completed(rest: DataFrame, work: Work) -> DataFrame:
+    """(a, b): links between sets (fp, label, n, tokens) of different labels, enough to join all components that belong together."""
+    rows = work.keep(prefix_rows(rest, sketch_of(rest)), "prefixes")
+    counts = rows.groupBy("token").agg(F.count("*").alias("held"), F.sum("n").alias("size"), F.bit_xor("fp").alias("mark"))
+    hot = work.keep(counts.where(F.col("held") > HOT_SETS), "hot")
+    cold = rows.join(small(hot.select("token"), 8), "token", "left_anti")
+    found = work.keep(met(cold, -(-rows.count() // PIECE_ROWS)), "found")
+    sets = rest.select("fp", "tokens")
+    few = work.keep(compared(found.where("a is not null").select("a", "b").distinct(), sets), "few")
+    # tokens of one passage often have the very same sets: one of them stands for all
+    many = hot.unionByName(found.where("a is null").select("token", "held", "size", "mark")).groupBy("held", "size", "mark").agg(F.min("token").alias("token"))
+    many = work.keep(many.select("token", F.expr(f"cast(ceil(greatest(held / {HOT_SETS}, 8 * size / {CHUNK_BYTES})) as int)").alias("blocks")), "many")
+    if many.isEmpty():
+        return few
+    members = rows.select("token", "fp", "label").join(small(many, 16), "token").withColumn("block", F.expr("cast(pmod(xxhash64(fp), blocks) as int)"))
+    members = members.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    cells = members.select(F.col("token").alias("key"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "label")
+    return few.unionByName(work.keep(linked_on_the_spot(work.keep(cells.join(sets, "fp"), "cells")), "spot"))
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -330,9 +408,7 @@ def linked(sets: DataFrame, work: Work) -> DataFrame | None:
     bound = rest.groupBy("label").agg(F.min(F.expr("ceil(n * 0.75)")).alias("least"))
     open_ = work.keep(counts.join(bound, "label").where("shared >= least").select("label"), "still_open")
     rest = work.keep(rest.join(small(open_, 8), "label", "left_semi"), "rest")
-    left = rest.agg(F.sum("n")).first()[0] or 0
-    if not left:
+    if rest.isEmpty():
         return roots
-    pairs = work.keep(pairs_between(rest, sketch_of(rest), buckets_for(4 * left)), "pairs")
-    more = work.keep(compared(pairs, rest.select("fp", "tokens").dropDuplicates(["fp"])), "more")
+    more = completed(work.keep(rest.dropDuplicates(["fp"]), "distinct"), work)
     return roots if more.isEmpty() else connected(edges.unionByName(more), work)

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from talkloom.llm import bbit_minhash as m
+from talkloom.llm import bbit_minhash as m, cells
 from talkloom.llm.textbytes import mix
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -90,17 +90,17 @@ def test_completion_finds_what_chunks_miss(spark, monkeypatch, pairs_per_set):
     rows = families(3, 4, 12)
     monkeypatch.setattr(m, "BLOCK_SETS", 2)
     monkeypatch.setattr(m, "PAIRS_PER_SET", pairs_per_set)
-    monkeypatch.setattr(m, "COLUMNS", 64)
+    monkeypatch.setattr(cells, "COLUMNS", 64)
     monkeypatch.setattr(m, "chunk_links", lambda sets, *_: sets.select(sets.fp.alias("a"), sets.fp.alias("b")).limit(0))
     assert found(m.near_duplicates(frame(spark, rows))) == brute(rows)
 
 
 def test_overlap_is_exact(monkeypatch):
-    monkeypatch.setattr(m, "COLUMNS", 128)
+    monkeypatch.setattr(cells, "COLUMNS", 128)
     rng = np.random.default_rng(5)
     own = [np.unique(rng.integers(0, 900, rng.integers(1, 500)).astype(np.uint64)) for _ in range(40)]
     x, y = np.triu_indices(40)
-    assert m.Overlap(own).of(x, y).tolist() == [len(np.intersect1d(own[i], own[j])) if i != j else int(sum(sum(t in o for o in own) > 1 for t in own[i].tolist())) for i, j in zip(x, y)]
+    assert cells.Overlap(own).of(x, y).tolist() == [len(np.intersect1d(own[i], own[j])) if i != j else int(sum(sum(t in o for o in own) > 1 for t in own[i].tolist())) for i, j in zip(x, y)]
 
 
 def test_hot_groups(spark):

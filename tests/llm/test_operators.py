@@ -106,6 +106,28 @@ def test_jaccard_join_completes_what_the_orders_miss(spark, monkeypatch):
     assert sorted(key((r.doc_id, r.n_shingles, r.component_id)) for r in got.collect()) == components(rows)
 
 
+def family():
+    """Texts of one passage: close to it, in between and far, so that most pairs are open and few are links."""
+    rng, base, rows = random.Random(11), prose(77, 120).split(), []
+    for k in range(40):
+        words, start = list(base), rng.randrange(110)
+        for x in range(2 + k % 26):
+            words[(start + x) % 120] = f"v{k}x{x}"
+        rows.append((500 + k, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("pairs, hot", [(0, 1 << 11), (2, 1 << 11), (1000, 1 << 11), (2, 8)])
+def test_jaccard_join_of_tokens_with_many_sets(spark, monkeypatch, pairs, hot):
+    """Pairs sent on, whole sets compared where they meet, and a grid of blocks give the same components."""
+    rows = near_rows() + family()
+    monkeypatch.setattr(jaccard_join, "chunk_links", lambda sets, order, chunks: sets.select(F.col("fp").alias("a"), F.col("fp").alias("b")))
+    monkeypatch.setattr(jaccard_join, "PAIRS_PER_SET", pairs)
+    monkeypatch.setattr(jaccard_join, "HOT_SETS", hot)
+    got = jaccard_join.similar_components(frame(spark, rows))
+    assert sorted(key((r.doc_id, r.n_shingles, r.component_id)) for r in got.collect()) == components(rows)
+
+
 def test_signature_tree_links_like_brute_force():
     rng = np.random.default_rng(3)
     sets = []
