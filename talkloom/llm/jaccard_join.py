@@ -270,17 +270,17 @@ def prefix_rows(sets: DataFrame, sketch: np.ndarray) -> DataFrame:
 
 
 def met(rows: DataFrame, pieces: int) -> DataFrame:
-    """(a, b, token, held, size, mark): open pairs of tokens with few, and the tokens with many (a, b null).
+    """(a, b, token, rep): open pairs of tokens with few, and the tokens with many (a, b null), named by the smallest of their sets.
 
     A pair is open at a token if bitmaps and sizes allow it and so do the places of the token: the first
-    token two similar sets share leaves enough behind it in both. ``mark`` tells the groups of tokens apart.
+    token two similar sets share leaves enough behind it in both.
     """
 
     def meet(cell: tuple, columns: list) -> pa.RecordBatch:
         fp, label, n, at = (np.array(columns[k], np.int64) for k in range(4))
-        label = np.unique(label, return_inverse=True)[1]  # the tree takes negative numbers for mixed nodes
         ends: list[tuple[int, int]] = []
-        if label.any():
+        if (label != label[0]).any():
+            label = np.unique(label, return_inverse=True)[1]  # the tree takes negative numbers for mixed nodes
             maps = np.frombuffer(b"".join(columns[4]), U).reshape(len(fp), -1)
             order = np.argsort(n, kind="stable")
             for i, j in Tree(maps[order], n[order]).pairs(lambda: label[order]):
@@ -291,14 +291,14 @@ def met(rows: DataFrame, pieces: int) -> DataFrame:
                 if len(ends) > PAIRS_PER_SET * len(fp):
                     break
         many = len(ends) > PAIRS_PER_SET * len(fp)
-        out = [(None, None, cell[0], len(fp), int(n.sum()), int(np.bitwise_xor.reduce(fp)))] if many else [(*e, *[None] * 4) for e in ends]
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(6)], ["a", "b", "token", "held", "size", "mark"])
+        out = [(None, None, cell[0], int(fp.min()))] if many else [(*e, None, None) for e in ends]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], ["a", "b", "token", "rep"])
 
     cells = rows.select(F.col("token").alias("key"), F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", "label", "n", "at", "bits")
-    return by_cell(cells, pieces, ["fp", "label", "n", "at", "bits"], meet, "a long, b long, token long, held long, size long, mark long")
+    return by_cell(cells, pieces, ["fp", "label", "n", "at", "bits"], meet, "a long, b long, token long, rep long")
 
 
-def linked_on_the_spot(cells: DataFrame) -> DataFrame:
+def linked_on_the_spot(cells: DataFrame, pieces: int) -> DataFrame:
     """(a, b): links that join the similar sets (fp, label, block, tokens) of every cell, by a signature tree and whole sets."""
 
     def act(cell: tuple, columns: list) -> pa.RecordBatch:
@@ -323,28 +323,29 @@ def linked_on_the_spot(cells: DataFrame) -> DataFrame:
                     ends.append((int(fp[x]), int(fp[y])))
         return pa.RecordBatch.from_arrays([pa.array([e[k] for e in ends], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    size = cells.agg(F.sum(F.length("tokens"))).first()[0] or 0
-    return by_cell(cells, -(-size // CHUNK_BYTES), ["fp", "label", "block", "tokens"], act, "a long, b long")
+    return by_cell(cells, pieces, ["fp", "label", "block", "tokens"], act, "a long, b long")
 
 
 def completed(rest: DataFrame, work: Work) -> DataFrame:
     """(a, b): links between sets (fp, label, n, tokens) of different labels, enough to join all components that belong together."""
     rows = work.keep(prefix_rows(rest, sketch_of(rest)), "prefixes")
-    counts = rows.groupBy("token").agg(F.count("*").alias("held"), F.sum("n").alias("size"), F.bit_xor("fp").alias("mark"))
-    hot = work.keep(counts.where(F.col("held") > HOT_SETS), "hot")
+    counts = rows.groupBy("token").agg(F.count("*").alias("held"), F.min("fp").alias("rep"))
+    hot = work.keep(counts.where(F.col("held") > HOT_SETS).select("token", "rep"), "hot")
     cold = rows.join(small(hot.select("token"), 8), "token", "left_anti")
     found = work.keep(met(cold, -(-rows.count() // PIECE_ROWS)), "found")
     sets = rest.select("fp", "tokens")
     few = work.keep(compared(found.where("a is not null").select("a", "b").distinct(), sets), "few")
-    # tokens of one passage often have the very same sets: one of them stands for all
-    many = hot.unionByName(found.where("a is null").select("token", "held", "size", "mark")).groupBy("held", "size", "mark").agg(F.min("token").alias("token"))
-    many = work.keep(many.select("token", F.expr(f"cast(ceil(greatest(held / {HOT_SETS}, 8 * size / {CHUNK_BYTES})) as int)").alias("blocks")), "many")
-    if many.isEmpty():
+    # tokens of one passage have much the same sets: those with the same smallest one make one cell, where each set comes once
+    many = hot.unionByName(found.where("a is null").select("token", "rep"))
+    members = work.keep(rows.select("token", "fp", "label", "n").join(small(many, 16), "token").groupBy("rep", "fp").agg(F.min("label").alias("label"), F.min("n").alias("n")), "members")
+    blocks = F.expr(f"cast(ceil(greatest(count(*) / {HOT_SETS}, 8 * sum(n) / {CHUNK_BYTES})) as int)")
+    cells = members.join(members.groupBy("rep").agg(blocks.alias("blocks")), "rep").withColumn("block", F.expr("cast(pmod(xxhash64(fp), blocks) as int)"))
+    cells = cells.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    cells = work.keep(cells.select(F.col("rep").alias("key"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "label", "n"), "cells")
+    size = cells.agg(F.sum("n")).first()[0]
+    if not size:
         return few
-    members = rows.select("token", "fp", "label").join(small(many, 16), "token").withColumn("block", F.expr("cast(pmod(xxhash64(fp), blocks) as int)"))
-    members = members.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    cells = members.select(F.col("token").alias("key"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "label")
-    return few.unionByName(work.keep(linked_on_the_spot(work.keep(cells.join(sets, "fp"), "cells")), "spot"))
+    return few.unionByName(work.keep(linked_on_the_spot(cells.join(sets, "fp"), -(-8 * size // CHUNK_BYTES)), "spot"))
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -407,8 +408,8 @@ def linked(sets: DataFrame, work: Work) -> DataFrame | None:
     counts = shared_counts(rest.select("label", "tokens"), buckets_for(size // 8))
     bound = rest.groupBy("label").agg(F.min(F.expr("ceil(n * 0.75)")).alias("least"))
     open_ = work.keep(counts.join(bound, "label").where("shared >= least").select("label"), "still_open")
-    rest = work.keep(rest.join(small(open_, 8), "label", "left_semi"), "rest")
+    rest = work.keep(rest.join(small(open_, 8), "label", "left_semi").dropDuplicates(["fp"]), "rest")
     if rest.isEmpty():
         return roots
-    more = completed(work.keep(rest.dropDuplicates(["fp"]), "distinct"), work)
+    more = completed(rest, work)
     return roots if more.isEmpty() else connected(edges.unionByName(more), work)
