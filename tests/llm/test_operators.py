@@ -408,6 +408,20 @@ def all_ids(rows):
     return [(i, whole.encode(t or "", add_special_tokens=False).ids + [1]) for i, t in rows]
 
 
+def test_token_ids_of_cut_and_lower_cased_chunks_equal_whole_texts():
+    """Chunks end at ASCII punctuation and are known lower-cased; apostrophes, odd letters and combining marks are no places to cut."""
+    some = random.Random(5)
+    alphabet = "aAbZ s't'RE ll üßΣσİıſ Ⅷ\u0338\u0301<>=.,' 12٣\t\n\u00a0中文😀\u200d-_`^$|<|endoftext|>"
+    texts = ["", "Word WORD word. (word) word's", *("".join(some.choice(alphabet) for _ in range(some.randrange(30))) for _ in range(3000))]
+    data, off = text_buffer(pa.array(texts))
+    encoder, whole = ChunkEncoder(tokenizer()), load(tokenizer())
+    assert encoder.cuts and encoder.lower and encoder.whole
+    for _ in range(2):  # the second time from the cache
+        ids, bound = encoder.encode(data, off)
+        for k, text in enumerate(texts):
+            assert ids[bound[k] : bound[k + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_packing(spark):
     got = packing.pack(frame(spark), tokenizer(), 256).collect()
     lengths = {}
