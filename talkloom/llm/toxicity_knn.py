@@ -8,19 +8,21 @@ blocks of similar ones; per term and block the largest weight is kept. For a tex
 upper bounds are computed from those maxima, blocks are opened best first, and search ends when
 no unopened block can beat the k-th neighbour: the result is exact. Neighbours vote with their
 cosine; the share of toxic votes is calibrated by the leave-one-out votes of the examples
-themselves (monotone regression). A text without a selected term resembles the examples
+themselves, without their exact copies (monotone regression). A text without a selected term resembles the examples
 without one and gets their share.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from talkloom.llm.textbytes import Words, slices
+from talkloom.llm.work import Work
 
 #: Bound of the labelled sample, of the selected terms, and the chi-square a term needs.
 EXAMPLES = 20_000
@@ -162,13 +164,18 @@ class BlockMaxIndex:
         for a, b in zip(at[:-1], at[1:]):
             yield self.vector(where[a:b], times[a:b])
 
-    def build(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    def build(self, ids: list, labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], texts: list | None = None) -> None:
+        """``texts``: a fingerprint of each example's text; without it, an id stands for its text."""
         full = [i for i, v in enumerate(vectors) if len(v[0])]
         empty = [labels[i] for i in range(len(vectors)) if not len(vectors[i][0])]
         self.base = (sum(empty) + 0.5) / (len(empty) + 1.0) if empty else 0.5
         # examples with the same strongest terms stand together, so that few blocks have high maxima
         full.sort(key=lambda i: (tuple(vectors[i][0][np.argsort(-vectors[i][1], kind="stable")][:3].tolist()), str(ids[i])))
         self.ids = [ids[i] for i in full]
+        number: dict = {}
+        texts = ids if texts is None else texts
+        self.text = np.array([number.setdefault(texts[i], len(number)) for i in full], np.int64)
+        self.text_number = number
         self.labels = np.array([labels[i] for i in full], np.int64)
         blocks = -(-len(full) // BLOCK)
         self.maxima = np.zeros((len(self.idf), blocks), np.float32)
@@ -185,7 +192,7 @@ class BlockMaxIndex:
             self.blocks.append((term, np.array([p[1] for p in own]), np.array([p[2] for p in own])))
 
     def nearest(self, where: np.ndarray, weight: np.ndarray, k: int, without=None) -> list[tuple[float, int]]:
-        """The k examples of greatest cosine above 0, exactly; ties by position."""
+        """The k examples of greatest cosine above 0, exactly; ties by position. Examples of the text ``without`` are passed over."""
         if not len(where) or not self.blocks:
             return []
         bound = weight @ self.maxima[where]
@@ -199,7 +206,7 @@ class BlockMaxIndex:
             found = np.bincount(at, dense[term] * w, BLOCK)
             some = np.flatnonzero(found > 0)
             if without is not None:
-                some = some[[self.ids[b * BLOCK + i] != without for i in some.tolist()]] if len(some) else some
+                some = some[self.text[b * BLOCK + some] != self.text_number.get(without, -1)]
             cosines, places = np.concatenate([cosines, found[some].round(9)]), np.concatenate([places, b * BLOCK + some])
             order = np.lexsort((places, -cosines))[:k]
             cosines, places = cosines[order], places[order]
@@ -242,7 +249,7 @@ def fit(docs: DataFrame, labelled: DataFrame, examples: int = EXAMPLES) -> Block
     ``examples`` bounds the labelled rows that are used; they and the selected terms fit one process.
     """
     known = labelled.where(F.col("label").isNotNull()).select("id", F.coalesce("text", F.lit("")).alias("text"), (F.col("label") != 0).cast("int").alias("label"))
-    sample = sample_of(known, examples)
+    sample = Work(docs.sparkSession).keep(sample_of(known, examples), "sample")
     terms = Terms(select_terms(sample))
     n, df = document_frequencies(docs, terms)
     index = BlockMaxIndex(terms, np.log((n + 1) / (df + 1)) + 1e-3)
@@ -254,16 +261,19 @@ def fit(docs: DataFrame, labelled: DataFrame, examples: int = EXAMPLES) -> Block
                 doc, where, times = terms.counts(Words(data, off))
                 at = np.searchsorted(doc, np.arange(rows.num_rows + 1)).tolist()
                 parts = [pa.array([x[a:b].tolist() for a, b in zip(at[:-1], at[1:])], pa.list_(pa.int64())) for x in (where, times)]
-                yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("label"), *parts], ["id", "label", "place", "times"])
+                raw = memoryview(data.tobytes())
+                marks = pa.array([blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(off[:-1].tolist(), off[1:].tolist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("label"), *parts, marks], ["id", "label", "place", "times", "mark"])
 
     kind = sample.schema["id"].dataType.simpleString()
-    rows = sample.mapInArrow(slim, f"id {kind}, label int, place array<long>, times array<long>").collect()
+    rows = sample.mapInArrow(slim, f"id {kind}, label int, place array<long>, times array<long>, mark binary").collect()
     rows.sort(key=lambda r: (str(r["id"]), r["place"], r["times"], r["label"]))
     keep = [index.vector(np.array(r["place"], np.int64), np.array(r["times"], np.int64)) for r in rows]
-    index.build([r["id"] for r in rows], [r["label"] for r in rows], keep)
+    marks = [bytes(r["mark"]) for r in rows]
+    index.build([r["id"] for r in rows], [r["label"] for r in rows], keep, marks)
     votes, labels = [], []
-    for r, t in zip(rows, keep):
-        near = index.nearest(*t, NEIGHBOURS, r["id"])
+    for r, t, mark in zip(rows, keep, marks):
+        near = index.nearest(*t, NEIGHBOURS, mark)  # copies under other ids are left out too
         if near:
             votes.append(index.vote(near))
             labels.append(r["label"])
