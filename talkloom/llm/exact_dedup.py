@@ -64,7 +64,9 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rows = refined(wide, text, work).select(id_col, *carry, LEN, PREFIX, FULL, F.monotonically_increasing_id().alias(ROW))
     rows = work.keep(rows, "rows")  # row numbers are fixed from here on
     groups = grouped(rows, id_col).select(FULL, FIRST, SIZE)
-    out = rows.join(groups, FULL, "left")
+    # rows without a full hash are unique: they stay out of the join, where they would meet in one task
+    hashed = rows.where(F.col(FULL).isNotNull()).join(groups, FULL, "left")
+    out = hashed.unionByName(rows.where(F.col(FULL).isNull()), allowMissingColumns=True)
     alone = F.col(FIRST).isNull()
     return out.select(
         id_col,
