@@ -173,7 +173,7 @@ def materialise(
 
     placed = cut.withColumn("slot", slot("part", "local")).withColumn("shard", F.expr(f"slot div {slots}L"))
     files = max(1, -(-total // slots))
-    ordered = placed.select("shard", "slot", "ids").repartition(files, "shard").sortWithinPartitions("slot")
+    ordered = placed.select("shard", "slot", "ids").repartitionByRange(files, "shard").sortWithinPartitions("slot")
     manifest = work.keep(write_shards(ordered, folder, length * np.dtype(dtype).itemsize, slots), "manifest")
     where = placed.select("slot", "shard", F.explode("pieces").alias("p"))
     return where.select(F.col("p.id").alias(id_col), "p.start", "p.length", "p.offset", "p.ids_crc32", "slot", "shard"), manifest, folder
