@@ -70,6 +70,13 @@ def scores(spark, sf):
     return scored.withColumnRenamed("row_key", "doc_id")
 
 
+@query("q_lid_scores_shuffled", f"WITH {LID} SELECT doc_id, code, votes, total_votes, score FROM scored")
+def scores_shuffled(spark, sf):
+    """The plan for profiles beyond the broadcast limit."""
+    scored = score_texts(texts_of(spark, sf), profile_of(spark, sf), keep_votes=True, broadcast_rows=0)
+    return scored.withColumnRenamed("row_key", "doc_id")
+
+
 @query(
     "q_lid_ladder",
     with_std(

@@ -18,7 +18,9 @@ from talkloom.session import settle
 UNDETERMINED = "und"
 # A profile of this many short n-grams stays well under 200 MB when broadcast.
 MAX_BROADCAST_PROFILE = 2_000_000
-MAX_CODES = 1_000
+# Grams of texts that vote from a broadcast part of a larger profile, and the sketch's items for each of them.
+FREQUENT_GRAMS = 20_000
+SKETCH_ITEMS_PER_GRAM = 4
 
 
 @dataclass(frozen=True)
@@ -71,35 +73,67 @@ def train_profile(labelled: DataFrame, n: int = 3, code: str = "code", text: str
     return counted.withColumn("_r", F.row_number().over(best)).filter("_r = 1").select("gram", "code")
 
 
-def score_texts(texts: DataFrame, profile: DataFrame, n: int = 3, keep_votes: bool = False) -> DataFrame:
+def frequent_grams(grams: DataFrame, most: int) -> DataFrame:
+    """(gram): the about ``most`` most frequent grams, from a sketch of fixed size that tasks merge."""
+    sketch = f"approx_top_k(gram, {int(most)}, {int(most) * SKETCH_ITEMS_PER_GRAM})"
+    top = grams.filter("gram is not null").agg(F.expr(sketch).alias("top"))
+    return top.select(F.explode("top.item").alias("gram"))
+
+
+def _votes_by_shuffle(grams: DataFrame, profile: DataFrame, n: int) -> DataFrame:
+    """(row_key, code, votes) for a profile that is too large to broadcast.
+
+    Votes of the frequent grams are cast and summed in the task that exploded the text, from
+    a broadcast part of the profile; only the others are combined per text and go to the
+    shuffle, so no gram key there has a row per text. What needs no look-up any more is
+    dealt by the text.
+    """
+    frequent = settle(profile.join(F.broadcast(frequent_grams(grams, FREQUENT_GRAMS)), "gram", "left_semi"))
+    known = frequent.select("gram", F.struct(F.col("code").alias("code")).alias("_known"))
+    seen = grams.join(F.broadcast(known), "gram", "left")
+    done = F.col("_known").isNotNull() | F.col("gram").isNull()
+    combined = (
+        seen.select("row_key", F.col("_known.code").alias("_code"), F.when(~done, F.col("gram")).alias("gram"))
+        .groupBy("row_key", "_code", "gram")
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
+    # no gram of n characters equals a key that is longer
+    filler = F.concat(F.lit("-" * (n + 1)), F.col("row_key").cast("string"))
+    rest = profile.filter(F.char_length("gram") == n).withColumnRenamed("gram", "_gram")
+    voted = combined.withColumn("_gram", F.coalesce("gram", filler)).join(rest, "_gram", "left")
+    return voted.groupBy("row_key", F.coalesce("_code", "code").alias("code")).agg(F.sum("times").alias("votes"))
+
+
+def score_texts(
+    texts: DataFrame, profile: DataFrame, n: int = 3, keep_votes: bool = False, broadcast_rows: int | None = None
+) -> DataFrame:
     """(row_key, code, score): share of a text's n-gram votes per language.
 
-    The profile is written out once, then broadcast only when its counted size allows;
-    past that the grams are first combined per text and joined by shuffle. Votes are
-    summed per text in the map task that exploded it, so the shuffle carries one row of
-    counters per text. A text without any vote scores ``und``.
+    The profile is written out once, then broadcast only when its counted size allows
+    (``broadcast_rows``, ``MAX_BROADCAST_PROFILE`` by default); past that, frequent grams
+    vote from a broadcast part of it and the rest by shuffle. Votes are summed per text and
+    language in the map task that exploded it, so the shuffle carries a few counters per
+    text, for any number of languages. A text without any vote scores ``und``.
     """
     profile = settle(profile.select("gram", "code"))
-    codes = [r.code for r in profile.select("code").distinct().limit(MAX_CODES + 1).collect()]
-    if len(codes) > MAX_CODES:
-        raise ValueError(f"profile has more than {MAX_CODES} languages")
-    codes.sort()
     grams = ngrams(texts, n)
-    if profile.count() <= MAX_BROADCAST_PROFILE:
-        voted = grams.join(F.broadcast(profile), "gram", "left").withColumn("times", F.lit(1))
+    most = MAX_BROADCAST_PROFILE if broadcast_rows is None else broadcast_rows
+    if profile.count() <= most:
+        voted = grams.join(F.broadcast(profile), "gram", "left")
+        votes = voted.groupBy("row_key", "code").agg(F.count(F.lit(1)).alias("votes"))
     else:
-        combined = grams.groupBy("row_key", "gram").agg(F.count(F.lit(1)).alias("times"))
-        voted = combined.join(profile, "gram", "left")
-    names = [f"_v{i}" for i in range(len(codes))]
-    votes = voted.groupBy("row_key").agg(
-        *[F.coalesce(F.sum(F.when(F.col("code") == c, F.col("times"))), F.lit(0)).alias(v) for c, v in zip(codes, names)],
-        F.coalesce(F.sum(F.when(F.col("code").isNotNull(), F.col("times"))), F.lit(0)).alias("total_votes"),
+        votes = _votes_by_shuffle(grams, profile, n)
+    cast = F.when(F.col("code").isNotNull(), F.col("votes"))
+    listed = votes.groupBy("row_key").agg(
+        F.collect_list(F.when(F.col("code").isNotNull(), F.struct("code", "votes"))).alias("_listed"),
+        F.coalesce(F.sum(cast), F.lit(0)).alias("total_votes"),
     )
-    pairs = [F.struct(F.lit(c).alias("code"), F.col(v).alias("votes")) for c, v in zip(codes, names)]
     none = F.struct(F.lit(UNDETERMINED).alias("code"), F.lit(0).cast("bigint").alias("votes"))
-    listed = F.filter(F.array(*pairs), lambda p: p["votes"] > 0) if pairs else F.array(none)
-    listed = F.when(F.col("total_votes") > 0, listed).otherwise(F.array(none))
-    long = votes.select("row_key", "total_votes", F.explode(listed).alias("p"))
+    long = listed.select(
+        "row_key",
+        "total_votes",
+        F.explode(F.when(F.size("_listed") > 0, F.col("_listed")).otherwise(F.array(none))).alias("p"),
+    )
     score = F.when(F.col("total_votes") > 0, F.col("p.votes") / F.col("total_votes")).otherwise(F.lit(1.0))
     extra = [F.col("p.votes").alias("votes"), F.col("total_votes")] if keep_votes else []
     return long.select("row_key", F.col("p.code").alias("code"), score.cast("double").alias("score"), *extra)

@@ -302,10 +302,21 @@ def test_scorer_shuffle_path_agrees_with_broadcast(spark, monkeypatch):
     broad = rows_of(score_texts(texts, profile))
     monkeypatch.setattr(langid, "MAX_BROADCAST_PROFILE", 0)
     assert rows_of(score_texts(texts, profile)) == broad
+    monkeypatch.setattr(langid, "FREQUENT_GRAMS", 1)  # nearly all grams by shuffle
+    assert rows_of(score_texts(texts, profile)) == broad
     top = {k: c for k, c, _ in sorted(broad, key=lambda r: r[2])}
     assert top == {"1": "en", "2": "tl", "3": "und", "4": "und", "5": "und"}
 
 
+def test_scorer_has_no_limit_of_languages_and_keeps_a_gram_of_all_texts_out_of_the_shuffle(spark):
+    profile = spark.createDataFrame([("the", "c0000"), *[(f"{k:03d}", f"c{k:04d}") for k in range(1000)]], "gram string, code string")
+    texts = spark.createDataFrame([(str(k), f"the{k:03d}") for k in range(1000)], "row_key string, text string")
+    broad = rows_of(score_texts(texts, profile, keep_votes=True))
+    shuffled = score_texts(texts, profile, keep_votes=True, broadcast_rows=0)
+    assert rows_of(shuffled) == broad
+    assert sorted(r[0] for r in broad if r[1] != "c0000" or r[0] == "0") == sorted(str(k) for k in range(1000))
+
+
 def test_language_run(spark, store):
     text = "the hospital uses AI for every patient"
     rows = standardized(
