@@ -277,6 +277,27 @@ def manual_json(spark, sf):
     )
 
 
+@query(
+    "q_manual_invalid_json",
+    f"""WITH {_UPLOADS}
+    SELECT 'input_rows' AS metric, count(*) AS value FROM u UNION ALL SELECT 'output_rows', count(*) FROM ok WHERE lang <> 'fr'
+    UNION ALL SELECT 'skipped_empty_text_rows', count(*) FROM u WHERE lang NOT IN ('fr', 'de') AND cut = ''
+    UNION ALL SELECT 'invalid_json_rows', count(*) FROM u WHERE lang IN ('fr', 'de')
+    UNION ALL SELECT 'json_results_extracted', count(*) FROM ok WHERE lang <> 'fr'
+    UNION ALL SELECT 'rows_by_file', count(*) FROM ok WHERE lang <> 'fr'""",
+)
+def manual_invalid_json(spark, sf):
+    """A payload cell per document; French cells go on after their document, German ones break off."""
+    folder = scratch(spark)
+    docs = texts(spark, sf, "documents", "doc_id", "text", "lang")
+    item = F.concat(F.lit('{"results": [{"post_id": '), F.col("doc_id").cast("string"), F.lit(', "message": '), json_string("text"))
+    end = F.when(F.col("lang") == "fr", "}]} and more").when(F.col("lang") == "de", "}]").otherwise("}]}")
+    cells = docs.select(F.lit("forum").alias("source"), F.concat(item, end).alias("json"))
+    cells.write.options(header=True, escape='"').csv(folder)
+    counted = upload_counts(upload_items(read_records(spark, folder)), list_files(spark, folder))
+    return counted.filter("metric <> 'input_files'").groupBy("metric").agg(F.sum("value").alias("value"))
+
+
 # ---- payloads --------------------------------------------------------------
 
 

@@ -15,6 +15,9 @@ def short_hash(canonical_json: Column) -> Column:
 def item_hashes(payload: Column) -> Column:
     """Short hash of every element of ``results`` in a JSON payload, by position.
 
+    NULL where the text is not one JSON document (text after its end included, which
+    VARIANT overlooks); an empty list where a document has no such list.
+
     VARIANT drops the difference between 1 and 1.0, which the hash must keep, so
     the canonical form is taken from the raw payload in Arrow batches. Only upload
     rows that carry a payload reach it.
@@ -26,10 +29,12 @@ def item_hashes(payload: Column) -> Column:
 
         def one(text):
             try:
-                results = json.loads(text)["results"]
-                canonical = [json.dumps(x, ensure_ascii=False, sort_keys=True) for x in results]
-            except (TypeError, KeyError, ValueError):
+                document = json.loads(text)
+            except (TypeError, ValueError, RecursionError):
                 return None
+            results = document.get("results") if isinstance(document, dict) else None
+            listed = results if isinstance(results, list) else []
+            canonical = [json.dumps(x, ensure_ascii=False, sort_keys=True) for x in listed]
             return [hashlib.sha1(c.encode("utf-8", "surrogatepass")).hexdigest()[:12] for c in canonical]
 
         return payloads.map(one)

@@ -211,8 +211,9 @@ def _payload_items(records: DataFrame) -> DataFrame:
         F.transform(listed, lambda item, i: F.struct((i + 1).alias("result_index"), item.alias("item"))),
         lambda e: is_object(e["item"]),
     )
-    invalid = F.col("_doc").isNull() | (results.isNotNull() & listed.isNull())
-    exploded = payload.select("*", invalid.alias("_invalid"), F.posexplode_outer(indexed).alias("_p", "_e"))
+    malformed = F.col("_doc").isNull() | F.col("_hashes").isNull()
+    invalid = malformed | (results.isNotNull() & listed.isNull())
+    exploded = payload.select("*", invalid.alias("_invalid"), F.posexplode_outer(F.when(~malformed, indexed)).alias("_p", "_e"))
     item = F.col("_e.item")
 
     def either(first: str, second: str) -> Column:

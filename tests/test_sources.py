@@ -154,6 +154,18 @@ def test_record_numbers_over_many_files(spark, tmp_path):
     assert stats[("input_rows", "")] == sum(100 + n for n in range(12))
 
 
+def test_text_after_a_payload_makes_it_invalid(spark, tmp_path):
+    good = json.dumps({"results": [{"post_id": "p1", "message": "m"}]})
+    cells = [good, good + " x", good + "}", "{} {}", "[1]", "{}", '{"results": 3}', good + "\n"]
+    write_csv(tmp_path / "cells.csv", ["source_platform", "json"], [{"source_platform": "forum", "json": c} for c in cells])
+    rows, stats = upload(spark, tmp_path)
+    got = rows.collect()
+    assert [r.text for r in got] == ["m", "m"] and all(r.id for r in got)
+    assert {k[0]: v for k, v in stats.items() if k[1] == ""} == {
+        "input_files": 1, "input_rows": 8, "output_rows": 2, "skipped_empty_text_rows": 0, "invalid_json_rows": 4, "json_results_extracted": 2,
+    }
+
+
 def test_upload_run_keeps_labels_through_standardization(spark, store, tmp_path):
     folder = tmp_path / "up"
     folder.mkdir()
