@@ -98,10 +98,7 @@ def group_pattern(
             pieces = [re.escape(p) for p in term.split("*")]
             inner.append(f"[{WORD}-]*".join(pieces) + (f"(?![{WORD}])" if word_boundaries else ""))
             continue
-        node = tree
-        for char in stem:
-            node = node.setdefault(char, {})
-        node["open" if open_end else "closed"] = True
+        _plant(tree, stem, open_end)
     branches = ([_tree_pattern(tree)] if tree else []) + inner
     if not branches:
         return None
@@ -109,6 +106,13 @@ def group_pattern(
     return start + "(?:" + "|".join(branches) + ")"
 
 
+def _plant(tree: dict, stem: str, open_end: bool) -> None:
+    node = tree
+    for char in stem:
+        node = node.setdefault(char, {})
+    node["open" if open_end else "closed"] = True
+
+
 def _tree_pattern(node: dict) -> str:
     if node.get("open"):
         return ""
@@ -197,9 +201,9 @@ def term_hits(df: DataFrame, key: str, terms: DataFrame, text: str = "text") ->
     """(group, term, key): every dictionary term that occurs in each text, once per text.
 
     A text becomes its word phrases, up to the longest term; phrases whose first word no
-    term starts with are dropped before the explode, and the rest meet the dictionary in
-    an equi-join. The text itself is never copied per phrase. Terms that are not plain
-    word sequences are tested one by one.
+    term starts with are dropped before the explode, and the rest meet the dictionary in an equi-join. The text
+    itself is never copied per phrase. Terms that are not plain word sequences are tested
+    one by one.
     """
     spark = df.sparkSession
     listed = terms.select("group", "term").distinct().limit(MAX_DICTIONARY_TERMS + 1).collect()
@@ -231,47 +235,34 @@ def term_hits(df: DataFrame, key: str, terms: DataFrame, text: str = "text") ->
 def _phrase_hits(spark: SparkSession, matched: DataFrame, lookup: list[tuple]) -> DataFrame:
     words = {stem: re.findall(r"\w+", stem) for _, _, stem, _ in lookup}
     # A longer term is reached through its whole first word, a one-word term through itself.
-    exact = sorted({words[s][0] for _, _, s, o in lookup if len(words[s]) > 1 or not o})
-    open_lengths = {}
+    heads: dict = {}
     for _, _, stem, is_open in lookup:
-        if is_open:
-            open_lengths.setdefault(len(words[stem]), set()).add(len(words[stem][-1]))
-    closed_lengths = sorted({len(words[s]) for _, _, s, o in lookup if not o})
+        _plant(heads, words[stem][0], is_open and len(words[stem]) == 1)
+    head = _tree_pattern(heads)
+    # The words of a phrase and the characters its last one is cut to (0: whole). As data and not as an
+    # expression each, so that the generated code stays small enough to be compiled, whatever the dictionary.
+    shapes = sorted({(len(words[s]), len(words[s][-1]) if o else 0) for _, _, s, o in lookup})
 
     if max(len(w) for w in words.values()) == 1:
-        # Where no term has a second word, a text is its set of words.
-        listed = F.array_distinct(F.regexp_extract_all("_match", F.lit(f"[{WORD}]+"), F.lit(0)))
-        at = matched.select("_key", F.explode(listed).alias("word")).withColumns(
-            {"w": F.array("word"), "p": F.lit(0)}
-        )
+        # Where no term has a second word, a text is its set of words. A plain explode would let the
+        # optimizer ask for the size of the list first, and make the list twice.
+        listed = F.array_distinct(F.regexp_extract_all("_match", F.lit(f"(?<![{WORD}])(?={head})[{WORD}]+"), F.lit(0)))
+        at = matched.select("_key", F.explode_outer(listed).alias("word")).filter("word is not null")
+        at = at.withColumns({"w": F.array("word"), "p": F.lit(0)})
     else:
         # Words and the separators between them alternate; p walks over the words.
         pieces = matched.select(
             "_key", F.regexp_extract_all("_match", F.lit(f"[{WORD}]+|[^{WORD}]+"), F.lit(0)).alias("w")
         ).withColumn("_first", F.when(F.get("w", F.lit(0)).rlike(f"^[{WORD}]"), 0).otherwise(1))
         at = pieces.select("_key", "w", "_first", F.posexplode("w").alias("p", "word")).filter("p % 2 = _first")
-    exact_head = F.col("word").isin(exact)
-    open_head = F.lit(False)
-    for length in sorted(open_lengths.get(1, ())):
-        stems = sorted({s for _, _, s, o in lookup if o and len(words[s]) == 1 and len(s) == length})
-        open_head = open_head | F.substring("word", 1, length).isin(stems)
-    at = at.filter(exact_head | open_head)
-
-    def phrase(n_words: int, last_chars: int | None) -> Column:
-        run = F.slice("w", F.col("p") + 1, 2 * n_words - 2) if n_words > 1 else F.array().cast("array<string>")
-        last = F.get("w", F.col("p") + 2 * (n_words - 1))
-        if last_chars is not None:
-            last = F.when(F.char_length(last) >= last_chars, F.substring(last, 1, last_chars))
-        return F.when(last.isNotNull(), F.concat(F.array_join(run, ""), last))
-
-    candidates = [
-        F.struct(phrase(n, None).alias("stem"), F.lit(False).alias("open")) for n in closed_lengths
-    ] + [
-        F.struct(phrase(n, chars).alias("stem"), F.lit(True).alias("open"))
-        for n, lengths in sorted(open_lengths.items())
-        for chars in sorted(lengths)
-    ]
-    phrases = at.select("_key", F.explode(F.array(*candidates)).alias("c")).select("_key", "c.stem", "c.open")
+        at = at.filter(F.col("word").rlike(f"^{head}"))
+
+    listed_shapes = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(c).alias("cut")) for n, c in shapes])
+    shaped = at.select("_key", "w", "p", F.explode(listed_shapes).alias("s")).select("_key", "w", "p", "s.n", "s.cut")
+    last = F.get("w", F.col("p") + 2 * (F.col("n") - 1))
+    last = F.when(F.col("cut") == 0, last).when(F.char_length(last) >= F.col("cut"), F.substr(last, F.lit(1), F.col("cut")))
+    run = F.array_join(F.slice("w", F.col("p") + 1, 2 * F.col("n") - 2), "")
+    phrases = shaped.select("_key", F.concat(run, last).alias("stem"), (F.col("cut") > 0).alias("open"))
     table = spark.createDataFrame(lookup, "group string, term string, stem string, open boolean")
     # Bounded by MAX_DICTIONARY_TERMS short strings.
     return (

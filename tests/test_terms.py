@@ -78,6 +78,15 @@ def test_patterns_and_hits_agree_with_one_regex_per_term(spark, texts):
     assert rows_of(hits, "group", "term", "i") == expected
 
 
+def test_hits_need_no_expression_per_length_of_a_term(spark):
+    df = spark.createDataFrame([(1, "abcdefghijklmnopqrst xabc"), (2, "abcde fghij")], "i int, text string")
+    terms = ["abcdefghijklmnopqrst"[:k] + "*" for k in range(1, 21)]
+    hits = term_hits(df, "i", terms_table(spark, {"g": terms}))
+    # Past 8,000 bytes of code per method the JVM interprets it.
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("substr") < 20
+    assert rows_of(hits) == sorted([("g", t, 1) for t in terms] + [("g", t, 2) for t in terms[:5]])
+
+
 def test_dictionary_forms(spark, tmp_path):
     table = terms_table(spark, {"ai_terms": {"english": ["ai", " gpt "], "cebuano": ["ai", "modelo", None]}, "other": ["x"]})
     assert rows_of(table) == [
