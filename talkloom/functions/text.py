@@ -72,7 +72,10 @@ def casefold(value: Column | str) -> Column:
 
 def clean_text(value: Column | str, remove_urls: bool = False) -> Column:
     """NFKC, control characters to spaces, optional URL removal, collapsed white space."""
-    text = F.translate(nfkc(value), _TO_SPACE, " " * len(_TO_SPACE))
+    # Translating looks every character up, so texts without such a character pass by; NFKC makes none.
+    normal = nfkc(value)
+    spaced = F.translate(normal, _TO_SPACE, " " * len(_TO_SPACE))
+    text = F.when(blank_if_null(value).rlike(f"[{_TO_SPACE}]"), spaced).otherwise(normal)
     if remove_urls:
         text = F.regexp_replace(text, URL_PATTERN, " ")
     return F.reflect(F.lit("org.apache.commons.lang3.StringUtils"), F.lit("normalizeSpace"), text)

@@ -5,10 +5,13 @@ Any frame ``(row_key, code, score)`` can take the place of the built-in scorer.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from talkloom.functions import languages as fixed
 from talkloom.functions.languages import language_label, text_array
@@ -21,6 +24,9 @@ MAX_BROADCAST_PROFILE = 2_000_000
 # Grams of texts that vote from a broadcast part of a larger profile, and the sketch's items for each of them.
 FREQUENT_GRAMS = 20_000
 SKETCH_ITEMS_PER_GRAM = 4
+# Text whose grams are counted at once, and what is found per text.
+SLICE_BYTES = 1 << 20
+GRAM_LIST = T.ArrayType(T.StructType([T.StructField("gram", T.StringType()), T.StructField("times", T.LongType())]))
 
 
 @dataclass(frozen=True)
@@ -42,19 +48,73 @@ class LanguageSettings:
 # ---- scorer ----------------------------------------------------------------
 
 
-def ngrams(texts: DataFrame, n: int = 3, keep: Sequence[str] = ("row_key",), text: str = "text") -> DataFrame:
-    """(keep..., gram) for every character n-gram of the cleaned lower-case text.
+def ngrams(texts: DataFrame, n: int = 3, key: str = "row_key", text: str = "text", combine: bool = False) -> DataFrame:
+    """(key, gram, times): the character n-grams of each cleaned lower-case text and how often it has them.
 
-    The text is cut into characters once and grams are read at each position, so the
-    work grows with the length of a text and not with its square. A text shorter than
-    ``n`` gives one NULL gram.
+    Grams are counted where the text is, an Arrow batch at a time, so what Spark explodes, joins and
+    shuffles is a row per distinct gram of a text and not one per character. With ``combine``
+    the texts of a batch that share a key are counted together. A text shorter than ``n`` gives
+    one NULL gram.
     """
-    chars = texts.select(*keep, clean_text(text).alias("_clean")).select(
-        *keep, F.split(F.lower("_clean"), "").alias("_chars")
-    )
-    at = chars.select(*keep, "_chars", F.posexplode_outer("_chars").alias("_p", "_c"))
-    gram = F.concat(*[F.get("_chars", F.col("_p") + i) for i in range(n)])
-    return at.select(*keep, gram.alias("gram"), "_p").filter("gram is not null or _p is null or _p = 0").drop("_p")
+    folded = texts.select(F.col(key), clean_text(text).alias("_clean")).select(key, F.lower("_clean").alias("_text"))
+    listed = T.StructType([T.StructField(key, folded.schema[key].dataType), T.StructField("_grams", GRAM_LIST)])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+            cuts = np.flatnonzero(np.diff(ends // SLICE_BYTES)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ends)]):
+                keys, part = batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)
+                owners = np.arange(hi - lo)
+                if combine:
+                    encoded = keys.dictionary_encode("encode")
+                    owners, keys = encoded.indices.to_numpy(), encoded.dictionary
+                yield pa.RecordBatch.from_arrays([keys, _gram_lists(part, owners, len(keys), n)], [key, "_grams"])
+
+    counted = folded.mapInArrow(count, listed).select(key, F.explode_outer("_grams").alias("_g"))
+    return counted.select(key, "_g.gram", "_g.times")
+
+
+def _gram_lists(texts: pa.Array, owners: np.ndarray, groups: int, n: int) -> pa.ListArray:
+    """Per owner 0 .. groups - 1 the (gram, times) of its texts. ``owners`` names the owner of each text."""
+    length = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    chars = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32)
+    # where each gram starts, and whose it is
+    most = np.maximum(length - n + 1, 0)
+    start = np.repeat(np.cumsum(length) - length - (np.cumsum(most) - most), most) + np.arange(most.sum())
+    owner = np.repeat(owners, most)
+    used = np.zeros(int(chars.max(initial=0)) + 1, bool)
+    used[chars] = True
+    alphabet, rank = np.flatnonzero(used), np.cumsum(used, dtype=np.int32) - 1
+    rank, base = rank[chars], max(len(alphabet), 1)
+    size = groups * base**n
+    if size < 1 << 63:  # one number per (owner, gram): the characters are its digits
+        number = owner.astype(np.uint32 if size < 1 << 32 else np.int64)
+        for i in range(n):
+            number *= number.dtype.type(base)
+            number += rank[start + i].astype(number.dtype)
+        if size <= 4 * len(number):
+            times = np.bincount(number)
+            number = np.flatnonzero(times)
+            times = times[number]
+        else:
+            number.sort()
+            at = np.flatnonzero(np.append(True, number[1:] != number[:-1])[: len(number)])
+            times = np.diff(np.append(at, len(number)))
+            number = number[at]
+        digits = []
+        for _ in range(n):
+            number, digit = np.divmod(number, number.dtype.type(base))
+            digits.append(digit)
+        owner, code = number, alphabet[np.stack(digits[::-1], 1).astype(np.int64)].astype(np.uint32)
+    else:  # long grams of very many characters
+        rows, times = np.unique(np.column_stack([owner, *(chars[start + i] for i in range(n))]), axis=0, return_counts=True)
+        owner, code = rows[:, 0], np.ascontiguousarray(rows[:, 1:], np.uint32)
+    width = 1 + (code >= 0x80).astype(np.int32) + (code >= 0x800) + (code >= 0x10000)
+    ends = np.concatenate([[0], np.cumsum(width.sum(1))]).astype(np.int32)
+    gram = pa.StringArray.from_buffers(len(code), pa.py_buffer(ends), pa.py_buffer(code.tobytes().decode("utf-32-le").encode()))
+    bounds = np.searchsorted(owner, np.arange(groups + 1).astype(owner.dtype)).astype(np.int32)
+    return pa.ListArray.from_arrays(bounds, pa.StructArray.from_arrays([gram, pa.array(times, pa.int64())], ["gram", "times"]))
 
 
 def train_profile(labelled: DataFrame, n: int = 3, code: str = "code", text: str = "text") -> DataFrame:
@@ -64,17 +124,17 @@ def train_profile(labelled: DataFrame, n: int = 3, code: str = "code", text: str
     below its exchange, so frequent grams do not pile up.
     """
     counted = (
-        ngrams(labelled.withColumnRenamed(code, "code"), n, keep=("code",), text=text)
+        ngrams(labelled.withColumnRenamed(code, "code"), n, key="code", text=text, combine=True)
         .filter("gram is not null")
         .groupBy("gram", "code")
-        .count()
+        .agg(F.sum("times").alias("count"))
     )
     best = Window.partitionBy("gram").orderBy(F.desc("count"), "code")
     return counted.withColumn("_r", F.row_number().over(best)).filter("_r = 1").select("gram", "code")
 
 
 def frequent_grams(grams: DataFrame, most: int) -> DataFrame:
-    """(gram): the about ``most`` most frequent grams, from a sketch of fixed size that tasks merge."""
+    """(gram): the about ``most`` grams of the most texts, from a sketch of fixed size that tasks merge."""
     sketch = f"approx_top_k(gram, {int(most)}, {int(most) * SKETCH_ITEMS_PER_GRAM})"
     top = grams.filter("gram is not null").agg(F.expr(sketch).alias("top"))
     return top.select(F.explode("top.item").alias("gram"))
@@ -83,7 +143,7 @@ def frequent_grams(grams: DataFrame, most: int) -> DataFrame:
 def _votes_by_shuffle(grams: DataFrame, profile: DataFrame, n: int) -> DataFrame:
     """(row_key, code, votes) for a profile that is too large to broadcast.
 
-    Votes of the frequent grams are cast and summed in the task that exploded the text, from
+    Votes of the frequent grams are cast and summed in the task that counted the text, from
     a broadcast part of the profile; only the others are combined per text and go to the
     shuffle, so no gram key there has a row per text. What needs no look-up any more is
     dealt by the text.
@@ -93,9 +153,9 @@ def _votes_by_shuffle(grams: DataFrame, profile: DataFrame, n: int) -> DataFrame
     seen = grams.join(F.broadcast(known), "gram", "left")
     done = F.col("_known").isNotNull() | F.col("gram").isNull()
     combined = (
-        seen.select("row_key", F.col("_known.code").alias("_code"), F.when(~done, F.col("gram")).alias("gram"))
+        seen.select("row_key", F.col("_known.code").alias("_code"), F.when(~done, F.col("gram")).alias("gram"), "times")
         .groupBy("row_key", "_code", "gram")
-        .agg(F.count(F.lit(1)).alias("times"))
+        .agg(F.sum("times").alias("times"))
     )
     # no gram of n characters equals a key that is longer
     filler = F.concat(F.lit("-" * (n + 1)), F.col("row_key").cast("string"))
@@ -112,7 +172,7 @@ def score_texts(
     The profile is written out once, then broadcast only when its counted size allows
     (``broadcast_rows``, ``MAX_BROADCAST_PROFILE`` by default); past that, frequent grams
     vote from a broadcast part of it and the rest by shuffle. Votes are summed per text and
-    language in the map task that exploded it, so the shuffle carries a few counters per
+    language in the map task that counted it, so the shuffle carries a few counters per
     text, for any number of languages. A text without any vote scores ``und``.
     """
     profile = settle(profile.select("gram", "code"))
@@ -120,7 +180,7 @@ def score_texts(
     most = MAX_BROADCAST_PROFILE if broadcast_rows is None else broadcast_rows
     if profile.count() <= most:
         voted = grams.join(F.broadcast(profile), "gram", "left")
-        votes = voted.groupBy("row_key", "code").agg(F.count(F.lit(1)).alias("votes"))
+        votes = voted.groupBy("row_key", "code").agg(F.sum("times").alias("votes"))
     else:
         votes = _votes_by_shuffle(grams, profile, n)
     cast = F.when(F.col("code").isNotNull(), F.col("votes"))

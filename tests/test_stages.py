@@ -308,6 +308,26 @@ def test_scorer_shuffle_path_agrees_with_broadcast(spark, monkeypatch):
     assert top == {"1": "en", "2": "tl", "3": "und", "4": "und", "5": "und"}
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 8])  # the numbers of 8 such characters no longer fit 64 bits
+def test_ngrams_are_counted_before_they_are_exploded(spark, n):
+    from collections import Counter
+
+    from talkloom.operators.langid import ngrams
+
+    many = "".join(chr(0x4E00 + k) for k in range(400))
+    texts = {"1": "a" * 1000, "2": "l'été ß straße été l'été", "3": "x\U0001f600\U0001f600yx\U0001f600\U0001f600y", "4": many, "5": ""}
+    rows = spark.createDataFrame([*texts.items(), ("6", None)], "row_key string, text string").repartition(1)
+    wanted = []
+    for key, text in [*texts.items(), ("6", "")]:
+        counts = Counter(text[i : i + n] for i in range(len(text) - n + 1))
+        wanted += [(key, g, t) for g, t in counts.items()] or [(key, None, None)]
+    found = [tuple(r) for r in ngrams(rows, n).collect()]
+    assert sorted(found, key=str) == sorted(wanted, key=str)
+    joint = ngrams(rows.withColumn("row_key", F.when(F.col("row_key") > "1", F.lit("z"))), n, combine=True)
+    assert joint.filter("row_key is null").collect()[0].times == 1001 - n
+    assert joint.filter("row_key = 'z'").agg(F.sum("times")).first()[0] == sum(w[2] or 0 for w in wanted if w[0] > "1")
+
+
 def test_scorer_has_no_limit_of_languages_and_keeps_a_gram_of_all_texts_out_of_the_shuffle(spark):
     profile = spark.createDataFrame([("the", "c0000"), *[(f"{k:03d}", f"c{k:04d}") for k in range(1000)]], "gram string, code string")
     texts = spark.createDataFrame([(str(k), f"the{k:03d}") for k in range(1000)], "row_key string, text string")
