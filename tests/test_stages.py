@@ -308,6 +308,17 @@ def test_scorer_shuffle_path_agrees_with_broadcast(spark, monkeypatch):
     assert top == {"1": "en", "2": "tl", "3": "und", "4": "und", "5": "und"}
 
 
+def test_cues_are_looked_up_in_one_folded_text(spark):
+    from talkloom.operators.langid import early_reason
+
+    settings = LanguageSettings(cues=("a.b", "subong", "ss("))
+    texts = ["what is A.B to us all", "what is a-b to us all", "karon kag SUBONG man ini", "die Straß( und mehr", "a.b"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(1).select("text", early_reason(F.col("text"), settings).alias("reason"))
+    cue = "possible_hiligaynon"
+    assert {r.text: r.reason for r in rows.collect()} == dict(zip(texts, [cue, None, cue, cue, "too_short"]))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("foldCase") == 1
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 8])  # the numbers of 8 such characters no longer fit 64 bits
 def test_ngrams_are_counted_before_they_are_exploded(spark, n):
     from collections import Counter
