@@ -1,5 +1,6 @@
 """Small fixtures with nulls, empty and long texts, ties, repeats, empty tables and clashing names."""
 
+import pickle
 import random
 import re
 import zlib
@@ -394,6 +395,64 @@ def test_code_bits_are_a_proper_distribution():
     assert total == pytest.approx(1, abs=1e-6)
 
 
+def test_lm_sends_the_code_as_its_tree_and_the_tables_once(spark, monkeypatch):
+    sent, plain = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sent.append(len(pickle.dumps(value, 5))) or plain(value))
+    docs, work = frame(spark, [(k, prose(k, 60, 40)) for k in range(30)]), Work(spark)
+    model = context_mixing.train(docs, work)
+    assert context_mixing.score(docs, model, work).count() == 30
+    code = model.mixer.code
+    cells = code.inner + (1 << context_mixing.NEAR_BITS) + (2 << context_mixing.RICH_BITS)
+    assert sum(sent) < 9 * cells  # two counts of four bytes a cell, and little more
+    many = context_mixing.Code(np.arange(5000, dtype=np.uint64), np.arange(5000, 0, -1), 10, 3)
+    blob = pickle.dumps(many, 5)
+    assert len(blob) < 50 * 5000
+    again = pickle.loads(blob)
+    for name in ("nodes", "bits", "depth", "first", "length", "tail", "odds"):
+        assert np.array_equal(getattr(again, name), getattr(many, name))
+
+
+def test_lm_score_and_counts_equal_a_plain_walk_over_the_bits(spark):
+    """Blocks of few bits, texts of unlike length, coded and spelled words."""
+    texts = [prose(k, n, 40) + " Once\u00e9 rare%d" % k for k, n in enumerate([1, 3, 700, 40, 5, 60])] + ["", None]
+    model = context_mixing.train(frame(spark, list(enumerate(texts))), Work(spark))
+    mixer, code = model.mixer, model.mixer.code
+    data, off = text_buffer(pa.array(texts))
+    words = Words(data, off)
+    events = context_mixing.Events(words, code)
+    cells = [np.zeros((len(t), 2), np.int64) for t in mixer.odds]
+    want = []
+    for d in range(len(texts)):
+        weights, hits = mixer.start.astype(float).copy(), mixer.map.astype(float) * context_mixing.APM_TRUST
+        seen, points = np.full(len(hits), context_mixing.APM_TRUST), 0.0
+        for token in np.flatnonzero(events.doc == d):
+            kind, place, stated, followed, _ = events.expand(slice(token, token + 1))
+            moves = []
+            for k, at in zip(kind.tolist(), zip(events.node[place], stated, followed)):
+                g, y = divmod(k, 2)
+                for table, c in zip(cells, at):
+                    table[c, y] += 1
+                x = np.array([odds[c] for odds, c in zip(mixer.odds, at)], float)
+                dot = min(max(float(weights[g] @ x), -12), 12)
+                p = 1 / (1 + np.exp(-dot))
+                c = g * context_mixing.APM_CELLS + int((min(max(dot, -8), 8) + 8) * (context_mixing.APM_CELLS - 1) / 16 + 0.5)
+                q = 0.65 * p + 0.35 * hits[c] / seen[c]
+                points += np.log10(q if y else 1 - q)
+                moves.append((g, (y - p) * context_mixing.RATE * x, c, y))
+            for g, move, c, y in moves:
+                weights[g] += move
+                hits[c] += y
+                seen[c] += 1
+            points += code.tail[events.token_symbol[token]]
+        want.append(points)
+    assert mixer.score(words)[0] == pytest.approx(want, rel=1e-5)
+    rows = events.lengths()
+    assert rows.sum() == cells[0].sum() and len(list(context_mixing.blocks(np.append(0, np.cumsum(rows)), 50))) > 20
+    counts = model.parts[1].value
+    for table, got in zip(cells, counts):
+        assert np.array_equal(table.ravel(), got)
+
+
 def test_token_ids_by_chunks_equal_whole_texts():
     texts = ["héllo's x y <|endoftext|> don't 12a3 \x1c q́ ﬁ é Å", "", "a\x0bb\x85c İx", BASE]
     data, off = text_buffer(pa.array(texts))
