@@ -135,10 +135,11 @@ class Code:
         self.bits = np.array([p[1] for p in paths], np.uint8).T
         self.length = (self.nodes >= 0).sum(1)
         # (symbols, depth) from the root down
-        level = self.length[:, None] - 1 - np.arange(self.nodes.shape[1])
+        level = (self.length[:, None] - 1).astype(np.int16) - np.arange(self.nodes.shape[1], dtype=np.int16)
         deep = level >= MIXED_DEPTH
-        z = np.where(self.bits == 1, -1.0, 1.0) * self.odds[np.maximum(self.nodes, 0)]
-        self.tail = -(np.logaddexp(0, np.where(deep, z, -np.inf)) / np.log(10)).sum(1)
+        self.tail, few = np.zeros(n), np.flatnonzero(deep.any(1))
+        z = np.where(self.bits[few] == 1, -1.0, 1.0) * self.odds[np.maximum(self.nodes[few], 0)]
+        self.tail[few] = -(np.logaddexp(0, np.where(deep[few], z, -np.inf)) / np.log(10)).sum(1)
         keep = (level >= 0) & ~deep
         self.length = keep.sum(1)
         self.first = np.concatenate([[0], np.cumsum(self.length)])[:-1]
@@ -509,7 +510,7 @@ class Mixer:
                 np.add.at(seen, cell, both[lo:hi])
             np.clip(final, 1e-6, 1 - 1e-6, out=final)
             # numpy vectorises the natural logarithm of float32, not the decimal one
-            out += np.bincount(state // GATES, np.log(np.abs(1 - bit - final)), docs) / np.log(10)
+            out += np.bincount(state, np.log(np.abs(1 - bit - final)), docs * GATES).reshape(docs, GATES).sum(1) / np.log(10)
         out += np.bincount(words.doc(), self.code.tail[events.symbol], docs) + self.code.tail[self.code.end]
         return out, events.symbol
 
